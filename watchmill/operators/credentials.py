@@ -106,7 +106,7 @@ def issue_leases(rotations: DataFrame) -> DataFrame:
         F.concat(F.lit("database/creds/"), role, F.lit("/"), F.left("rotation_id", F.lit(24))).alias("lease_id"),
         F.concat(F.lit("v-"), F.left("rotation_id", F.lit(12))).alias("username"),
         F.col("at_us").alias("issued_us"),
-        (F.col("at_us") + seconds * 1_000_000).alias("expires_us"),
+        (F.col("at_us") + seconds.cast("bigint") * 1_000_000).alias("expires_us"),
         F.col("reason").alias("rotation_reason"),
     )
 

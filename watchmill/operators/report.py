@@ -139,10 +139,10 @@ def lag_summary(lags: DataFrame) -> DataFrame:
     return sums.withColumn("lag_level", level.otherwise("ok"))
 
 
-def windowed_metrics(pred: DataFrame, width: str = "5 minutes") -> DataFrame:
-    """Totals per tumbling window; users are combined first, so a busy user costs one row per window."""
+def user_windows(pred: DataFrame, width: str = "5 minutes") -> DataFrame:
+    """Counts per tumbling window and user; batch and stream."""
     high = D.is_high_severity(F.col("is_threat"), F.col("threat_action"))
-    per_user = pred.groupBy(F.window("timestamp", width).alias("w"), "user_id").agg(
+    return pred.groupBy(F.window("timestamp", width).alias("w"), "user_id").agg(
         F.count("*").alias("n"),
         F.count_if(F.col("threat_action").isin("BLOCK", "CRITICAL_ALERT")).alias("blocked"),
         F.count_if(F.col("threat_action") == "MONITOR").alias("monitored"),
@@ -150,6 +150,10 @@ def windowed_metrics(pred: DataFrame, width: str = "5 minutes") -> DataFrame:
         F.sum("latency_ms").alias("latency"),
         F.max(high).alias("risky"),
     )
+
+
+def window_totals(per_user: DataFrame) -> DataFrame:
+    """Totals per window; a user with many events is one row here."""
     return per_user.groupBy("w").agg(
         F.sum("n").alias("total_events"), F.sum("blocked").alias("blocked_events"),
         F.sum("monitored").alias("monitored_events"), F.sum("allowed").alias("allowed_events"),
@@ -158,6 +162,10 @@ def windowed_metrics(pred: DataFrame, width: str = "5 minutes") -> DataFrame:
     ).select(F.unix_micros("w.start").alias("window_us"), "*").drop("w")
 
 
+def windowed_metrics(pred: DataFrame, width: str = "5 minutes") -> DataFrame:
+    return window_totals(user_windows(pred, width))
+
+
 def _point_or_server(col: str, axis: int) -> Column:
     return F.coalesce(F.nullif(F.col(col), F.lit(0.0)), F.lit(V.SERVER_GEO[axis]))
 

@@ -7,6 +7,14 @@ from watchmill.functions import decision as D
 _IP = r"^(\d{1,3}\.){3}\d{1,3}$|^[0-9A-Fa-f:]*:[0-9A-Fa-f:]+$"
 
 
+# the JSON writer's own format stops at milliseconds
+JSON_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def as_json(*columns: Column | str) -> Column:
+    return F.to_json(F.struct(*columns), JSON_TIME)
+
+
 def valid_ip(ip: Column) -> Column:
     """Malformed addresses become null instead of failing the row."""
     return F.when(ip.rlike(_IP), ip)
@@ -18,7 +26,7 @@ def _present(df: DataFrame, name: str, default: str) -> Column:
 
 def raw_messages(df: DataFrame) -> DataFrame:
     """Broker rows: the user is the key, so one user's events stay in order on one partition."""
-    return df.select(F.col("user_id").alias("key"), F.to_json(F.struct("*")).alias("value"))
+    return df.select(F.col("user_id").alias("key"), as_json("*").alias("value"))
 
 
 def alert_messages(pred: DataFrame) -> DataFrame:
@@ -88,4 +96,5 @@ def export_profiles(profiles: DataFrame, path: str) -> None:
 
 
 def write_network_logs(events: DataFrame, path: str) -> None:
-    events.write.mode("overwrite").csv(path, header=True)
+    text = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    events.withColumn("timestamp", text).write.mode("overwrite").csv(path, header=True)
