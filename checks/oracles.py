@@ -172,7 +172,11 @@ def q(body: str, *more: str) -> str:
     return "WITH " + ",".join([*_PARTS, *more]) + "\n" + body
 
 
-_HIST_COLS = "event_id, prev_ip, ip_changed, time_since_last, rapid_succession"
+def pct(score: str) -> str:
+    """A percentage with one decimal, half up on the number's shortest decimal digits (ROUND_HALF_UP of its text)."""
+    return f"CAST(round(CAST(CAST({score} * 100 AS VARCHAR) AS DECIMAL(38, 18)), 1) AS DOUBLE)"
+
+
 _ROLL_COLS = "event_id, is_new_ip, ip_hops_30m, admin_actions_15m, failed_30m, events_1h, time_since_last"
 
 SUSPICIOUS = " OR ".join(
@@ -398,7 +402,7 @@ def oracle_sql() -> dict[str, str]:
     )
     o["b25_display"] = q(
         "SELECT rotation_id, CASE WHEN length(reason) > 25 THEN concat(left(reason, 25), '…') ELSE reason END AS short_reason, "
-        "round(trigger_score * 100, 1) AS score_pct FROM rot"
+        f"{pct('trigger_score')} AS score_pct FROM rot"
     )
     o["b26_rotation_reason"] = q("SELECT rotation_id, reason FROM rot")
     o["b27_round_scores"] = q(
@@ -532,7 +536,7 @@ def oracle_sql() -> dict[str, str]:
     o["g6_latest_rotated"] = q("SELECT user_id, role, rotation_count, last_rotation_reason, created_us FROM uledger WHERE status = 'rotated' ORDER BY created_us DESC, user_id LIMIT 1")
     o["g7_threat_feed"] = q(
         "SELECT event_id, CASE WHEN threat_score > 0.9 THEN 'critical' ELSE 'high' END AS severity, CASE WHEN anomaly_type = 'None' THEN 'BLOCK' ELSE anomaly_type END AS label, "
-        "user_id AS user_name, source_ip, round(threat_score * 100, 1) AS score_pct FROM (SELECT * FROM pred WHERE is_threat ORDER BY us DESC, event_id DESC LIMIT 20)"
+        "user_id AS user_name, source_ip, " + pct("threat_score") + " AS score_pct FROM (SELECT * FROM pred WHERE is_threat ORDER BY us DESC, event_id DESC LIMIT 20)"
     )
     o["g8_newest_arcs"] = q("SELECT event_id, is_threat, threat_score FROM pred ORDER BY us DESC, event_id DESC LIMIT 80")
     o["g9_sorted"] = q("SELECT event_id, user_id, us AS event_us FROM net_events")
@@ -592,8 +596,8 @@ def oracle_sql() -> dict[str, str]:
     )
     o["h7_user_ledger"] = q("SELECT * FROM uledger")
     o["h8_active_leases"] = q(
-        "SELECT service, lease_id, username, issued_us, expires_us, rotation_reason, greatest((expires_us - asof) // 1000000, 0) AS seconds_remaining, (expires_us - asof) // 1000000 <= 0 AS expired FROM "
-        "(SELECT *, epoch_us(TIMESTAMP '2024-01-30 12:00:00') AS asof, row_number() OVER (PARTITION BY service ORDER BY issued_us DESC, lease_id DESC) AS rn FROM leases "
+        "SELECT service, lease_id, username, issued_us, expires_us, rotation_reason, greatest((expires_us - moment) // 1000000, 0) AS seconds_remaining, (expires_us - moment) // 1000000 <= 0 AS expired FROM "
+        "(SELECT *, epoch_us(TIMESTAMP '2024-01-30 12:00:00') AS moment, row_number() OVER (PARTITION BY service ORDER BY issued_us DESC, lease_id DESC) AS rn FROM leases "
         "WHERE issued_us <= epoch_us(TIMESTAMP '2024-01-30 12:00:00')) WHERE rn = 1"
     )
     o["h9_revocations"] = q(

@@ -51,8 +51,10 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def net_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+def net_events(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Network events from the events table, or from a stream of its rows."""
+    events = table(spark, sf_dir, "events") if events is None else events
+    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     home = small_or_same(profiles(spark, sf_dir).select(F.col("user_id").alias("p_user"), "home_region"))
     k, event_type = F.col("k"), F.col("event_type")
     rows = events.withColumn("p_user", _user(F.col("user_id"))).join(home, "p_user", "left")
