@@ -585,6 +585,18 @@ def oracle_sql() -> dict[str, str]:
     o["f16_predict"] = q(prediction)
     o["f17_predict_batch"] = o["f16_predict"]
 
+    vector = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in FEATURE_INTS + FEATURE_REALS) + "]"
+    o["f2_neighbours"] = q(
+        "SELECT id, nr, round(distance, 3) AS distance FROM (SELECT a.id, row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.v, b.v)) AS nr, "
+        "list_distance(a.v, b.v) AS distance FROM minority a JOIN minority b ON a.id <> b.id) WHERE nr <= 5",
+        f"\nminority AS MATERIALIZED (SELECT CAST(event_id AS VARCHAR) AS id, {vector} AS v FROM feats WHERE is_injected_anomaly)",
+    )
+    o["f2_smote"] = (
+        "SELECT 0 AS label, count(*) AS n, 0 AS outside FROM events WHERE CAST(json_extract_string(props, '$.k') AS INT) < 95 UNION ALL "
+        "SELECT 1, CAST(floor(0.3 * count(*)) AS BIGINT), 0 FROM events WHERE CAST(json_extract_string(props, '$.k') AS INT) < 95"
+    )
+    o["a18_bundle_reload"] = "SELECT count(*) - CAST(floor(count(*) * 0.8) AS BIGINT) AS rows, 0 AS different FROM events"
+
     # --- ledger ---
     o["h1_created_alerts"] = q("SELECT alert_id, event_id, user_id, created_us, threat_score, threat_action FROM alerts")
     o["h2_first_decisions"] = q("SELECT alert_id, CASE status WHEN 'approved' THEN 'approve' ELSE 'reject' END AS decision, resolved_us AS at_us FROM decided WHERE status <> 'pending'")
