@@ -14,8 +14,14 @@ def profiles(spark: SparkSession, d: str) -> DataFrame:
     return T.profiles(prepare(spark), d)
 
 
-def events(spark: SparkSession, d: str) -> DataFrame:
-    return T.net_events(prepare(spark), d).withColumn("latency_ms", F.col("k") * F.lit(0.25))
+def events(spark: SparkSession, d: str, people: DataFrame | None = None) -> DataFrame:
+    rows = T.net_events(prepare(spark), d, people=people)
+    return rows.withColumn("latency_ms", F.col("k") * F.lit(0.25))
+
+
+def events_and_profiles(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    people = profiles(spark, d)
+    return events(spark, d, people), people
 
 
 def log_events(spark: SparkSession, d: str) -> DataFrame:
@@ -41,12 +47,13 @@ def serving(spark: SparkSession, d: str, hot_rows: int | None = rolling.HOT_ROWS
     return rolling.with_history(inputs(spark, d), "serving", hot_rows)
 
 
-def codes(spark: SparkSession, d: str) -> DataFrame:
-    return fit_encoders(attach_profile(events(spark, d), profiles(spark, d)))
+def codes(rows: DataFrame, people: DataFrame) -> DataFrame:
+    return fit_encoders(attach_profile(rows, people))
 
 
 def features(spark: SparkSession, d: str, mode: str = "exact", hot_rows: int | None = rolling.HOT_ROWS) -> DataFrame:
-    return engineer_features(events(spark, d), profiles(spark, d), codes(spark, d), mode, hot_rows)
+    rows, people = events_and_profiles(spark, d)
+    return engineer_features(rows, people, codes(rows, people), mode, hot_rows)
 
 
 def alerts(spark: SparkSession, d: str) -> DataFrame:

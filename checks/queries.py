@@ -319,7 +319,7 @@ def b27_round_scores(spark, d):
 
 def event_features(spark, d):
     """The features that need no history: no exchange on the user in these plans."""
-    return features.with_event_features(features.attach_profile(I.events(spark, d), I.profiles(spark, d)))
+    return features.with_event_features(features.attach_profile(*I.events_and_profiles(spark, d)))
 
 
 def add_features(name, exact, real=()):
@@ -361,8 +361,8 @@ add_features("c17_combinations", ["admin_non_admin_role", "high_download_non_dev
 
 @query
 def c18_encoders(spark, d):
-    rows = features.attach_profile(I.events(spark, d), I.profiles(spark, d))
-    return encode.apply_encoders(rows, I.codes(spark, d)).select("event_id", *[f"{c}_encoded" for c in V.ENCODED_COLUMNS])
+    rows, people = I.events_and_profiles(spark, d)
+    return encode.apply_encoders(features.attach_profile(rows, people), I.codes(rows, people)).select("event_id", *[f"{c}_encoded" for c in V.ENCODED_COLUMNS])
 
 
 @query
@@ -406,7 +406,8 @@ add("c21_features_serving", lambda spark, d: matrix(I.features(spark, d, "servin
 
 @query
 def d1_logs_profiles(spark, d):
-    return I.events(spark, d).join(I.profiles(spark, d), "user_id", "left").select(
+    rows, people = I.events_and_profiles(spark, d)
+    return rows.join(people, "user_id", "left").select(
         "event_id", "role", "home_region", "avg_daily_downloads_mb"
     )
 
@@ -414,8 +415,8 @@ def d1_logs_profiles(spark, d):
 @query
 def d2_profile_defaults(spark, d):
     number = F.substring("user_id", 5, 20).cast("bigint")
-    known = I.profiles(spark, d).filter(number % 4 != 1)
-    return features.attach_profile(I.events(spark, d), known).select("event_id", "home_region", *V.PROFILE_DEFAULTS)
+    rows, people = I.events_and_profiles(spark, d)
+    return features.attach_profile(rows, people.filter(number % 4 != 1)).select("event_id", "home_region", *V.PROFILE_DEFAULTS)
 
 
 @query

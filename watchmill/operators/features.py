@@ -7,16 +7,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from watchmill import fixed_values as V
 from watchmill import schema as S
 from watchmill.operators.encode import apply_encoders
-from watchmill.operators.keys import HOT_ROWS, small_or_same
+from watchmill.operators.keys import HOT_ROWS
 from watchmill.operators.rolling import event_inputs, with_history
 
 
 def attach_profile(events: DataFrame, profiles: DataFrame) -> DataFrame:
     """Profile fields by user, each with its default.
 
-    Few profiles are broadcast; many are joined on the user, whose partitioning the history already has.
+    Catalyst broadcasts profiles below its size threshold; more of them are joined on the user, whose
+    partitioning the history already has.
     """
-    profiles = small_or_same(profiles)
     fields = [c for c in profiles.columns if c != "user_id"]
     events = events.drop(*[c for c in fields if c in events.columns])
     rows = events.join(profiles, "user_id", "left")

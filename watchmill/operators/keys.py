@@ -6,17 +6,29 @@ from pyspark.sql import DataFrame, functions as F
 HOT_ROWS = 5_000_000
 # at most this many rows are broadcast
 SMALL_ROWS = 200_000
+# at most this many rows become part of a plan
+LOCAL_ROWS = 10_000
 
 
-def small_or_same(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+def _head(df: DataFrame, max_rows: int):
+    """All rows if there are at most ``max_rows``, else None. Reads no more than ``max_rows + 1``."""
+    head = df.limit(max_rows + 1).toArrow()
+    return head if head.num_rows <= max_rows else None
+
+
+def small_or_same(df: DataFrame, max_rows: int = LOCAL_ROWS) -> DataFrame:
     """A computed table as a broadcast copy if it has at most ``max_rows`` rows, else unchanged.
 
     The bounded read computes it once, instead of once for the count and once for every join.
     """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
+    head = _head(df, max_rows)
+    return df if head is None else F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
+
+
+def broadcast_if_small(df: DataFrame, sized_by: DataFrame | None = None, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Mark for broadcast if the table, or the one that bounds its size, has at most ``max_rows`` rows."""
+    bound = df if sized_by is None else sized_by
+    return F.broadcast(df) if bound.count() <= max_rows else df
 
 
 def hot_keys(df: DataFrame, key: str, max_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -24,7 +36,8 @@ def hot_keys(df: DataFrame, key: str, max_rows: int = HOT_ROWS) -> DataFrame | N
 
     The count is combined before the shuffle; the result has at most ``rows / max_rows`` rows.
     """
-    counts = df.groupBy(key).count()
-    hot = counts.filter(F.col("count") > max_rows).select(key)
-    hot = small_or_same(hot)
-    return None if hot.isEmpty() else hot
+    hot = df.groupBy(key).count().filter(F.col("count") > max_rows).select(key)
+    head = _head(hot, LOCAL_ROWS)
+    if head is None:
+        return hot
+    return F.broadcast(df.sparkSession.createDataFrame(head, schema=hot.schema)) if head.num_rows else None

@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from watchmill.operators.keys import small_or_same
+from watchmill.operators.keys import broadcast_if_small
 
 _SEGMENT_ROLE = {"MACHINERY": "Admin", "BUILDING": "Developer", "AUTOMOBILE": "Finance", "FURNITURE": "HR"}
 _REGIONS = ["South-America", "US-East", "Asia-Pacific", "EU-Central", "US-West"]
@@ -34,28 +34,30 @@ def _region(number: Column) -> Column:
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per customer, whose number, read from the file footers, decides on the broadcast."""
     key = F.col("c_custkey")
-    return (
-        table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
-        .select(
-            _user(key).alias("user_id"),
-            _case(F.col("c_mktsegment"), _SEGMENT_ROLE, "Sales").alias("role"),
-            _region(F.col("n_regionkey")).alias("home_region"),
-            (7 + key % 5).cast("double").alias("base_login_hour"),
-            (1 + key % 3).cast("double").alias("login_hour_std_dev"),
-            F.round(F.abs("c_acctbal") / 200.0, 2).alias("avg_daily_downloads_mb"),
-            (key % 3 == 0).alias("remote_worker"),
-            (key % 7 == 0).alias("is_shift_worker"),
-        )
+    customer = table(spark, sf_dir, "customer")
+    rows = customer.join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey")).select(
+        _user(key).alias("user_id"),
+        _case(F.col("c_mktsegment"), _SEGMENT_ROLE, "Sales").alias("role"),
+        _region(F.col("n_regionkey")).alias("home_region"),
+        (7 + key % 5).cast("double").alias("base_login_hour"),
+        (1 + key % 3).cast("double").alias("login_hour_std_dev"),
+        F.round(F.abs("c_acctbal") / 200.0, 2).alias("avg_daily_downloads_mb"),
+        (key % 3 == 0).alias("remote_worker"),
+        (key % 7 == 0).alias("is_shift_worker"),
     )
+    return broadcast_if_small(rows, sized_by=customer)
 
 
-def net_events(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+def net_events(
+    spark: SparkSession, sf_dir: str, events: DataFrame | None = None, people: DataFrame | None = None
+) -> DataFrame:
     """Network events from the events table, or from a stream of its rows."""
+    people = profiles(spark, sf_dir) if people is None else people
     events = table(spark, sf_dir, "events") if events is None else events
     events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    home = small_or_same(profiles(spark, sf_dir).select(F.col("user_id").alias("p_user"), "home_region"))
+    home = people.select(F.col("user_id").alias("p_user"), "home_region")
     k, event_type = F.col("k"), F.col("event_type")
     rows = events.withColumn("p_user", _user(F.col("user_id"))).join(home, "p_user", "left")
     return rows.select(
