@@ -474,7 +474,7 @@ def oracle_sql() -> dict[str, str]:
     o["d7_not_sent"] = "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
 
     # --- aggregates and evaluation ---
-    o["e1_pipeline_metrics"] = q(metrics)
+    o["e1_metrics"] = q(metrics)
     o["e2_attack_types"] = q("SELECT coalesce(anomaly_type, 'unknown') AS attack_type, count(*) AS n FROM pred WHERE is_threat GROUP BY 1")
     o["e3_threats_by_action"] = q("SELECT threat_action, count(*) AS n FROM pred WHERE is_threat GROUP BY 1")
     o["e4_threats_by_attack"] = q("SELECT anomaly_type AS attack_type, count(*) AS n FROM pred WHERE is_threat GROUP BY 1 ORDER BY n DESC, attack_type LIMIT 20")
@@ -633,6 +633,10 @@ def oracle_sql() -> dict[str, str]:
     o["s1_scored_stream"] = q("SELECT CAST(event_id AS VARCHAR) AS event_id, is_threat, threat_action, threat_score FROM pred")
     o["s2_serving_state"] = q("SELECT CAST(event_id AS VARCHAR) AS event_id, is_first_ip, ip_hops_30m, admin_actions_15m, failed_30m, events_1h, time_since_last, rapid_succession FROM serving")
     o["s3_exact_state"] = q("SELECT CAST(event_id AS VARCHAR) AS event_id, is_new_ip, ip_hops_30m, admin_actions_15m, failed_30m, events_1h, time_since_last, rapid_succession FROM hist")
+    o["s4_late_rows"] = q(
+        "SELECT a.event_id, coalesce(a.us <= (SELECT max(b.us) FROM arr b WHERE b.batch < 3) // 1000 * 1000 - 600000000, FALSE) AND a.batch = 3 AS late FROM arr a",
+        "\narr AS MATERIALIZED (SELECT event_id, us, CASE WHEN k % 10 = 0 THEN 3 ELSE CAST(floor(event_id * 4 / (max(event_id) OVER () + 1)) AS INT) END AS batch FROM net_events)",
+    )
     o["s5_bridge_stream"] = q("SELECT DISTINCT source_ip AS _es_id FROM net_events")
     o["s6_incremental_metrics"] = q(metrics)
     o["s7_fan_out"] = q("SELECT 'events' AS channel, count(*) AS n FROM pred UNION ALL SELECT 'alerts', count(*) FROM pred WHERE is_threat")

@@ -465,7 +465,7 @@ def d7_not_sent(spark, d):
 
 # ---- aggregates and evaluation -----------------------------------------------------------------------------------------
 
-add("e1_pipeline_metrics", lambda spark, d: report.pipeline_metrics(I.predictions(spark, d)))
+add("e1_metrics", lambda spark, d: report.pipeline_metrics(I.predictions(spark, d)))
 add("e2_attack_types", lambda spark, d: report.attack_types(I.predictions(spark, d)))
 add("e3_threats_by_action", lambda spark, d: report.threats_by_action(sinks.threat_rows(I.predictions(spark, d))))
 add("e4_threats_by_attack", lambda spark, d: report.threats_by_attack(sinks.threat_rows(I.predictions(spark, d))))

@@ -96,6 +96,22 @@ def s3_exact_state(spark, d):
     return state_output(spark.read.parquet(finish(spark, stream)), "is_new_ip")
 
 
+@query
+def s4_late_rows(spark, d):
+    """A tenth of the events comes last; what is then behind the watermark lands in the side table."""
+    table = I.events(spark, d).select("event_id", "timestamp", "k")
+    total = table.agg(F.max("event_id")).first()[0] + 1
+    path, good, late = (fresh_path(spark, n) for n in ("arrivals", "good", "late"))
+    arrival = F.when(F.col("k") % 10 == 0, SLICES - 1).otherwise(F.floor(F.col("event_id") * SLICES / F.lit(total)))
+    for i in range(SLICES):
+        table.filter(arrival == i).coalesce(1).write.mode("append").parquet(path)
+    rows = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    finish(spark, rows, jobs.late_sink(good, late, 600))
+    return spark.read.parquet(good).select("event_id", F.lit(False).alias("late")).unionByName(
+        spark.read.parquet(late).select("event_id", F.lit(True).alias("late"))
+    )
+
+
 @query
 def s5_bridge_stream(spark, d):
     path = fresh_path(spark, "docs")

@@ -54,9 +54,17 @@ def brute_force(rows):
     return result
 
 
+@pytest.fixture()
+def whole_ranges(spark):
+    """Keep small range partitions apart, as large ones would be."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("hot_rows, slice_seconds", [(None, 600), (20, 600), (0, 37), (0, 100_000)])
-def test_exact_history_equals_brute_force(spark, seed, hot_rows, slice_seconds):
+@pytest.mark.parametrize("hot_rows, slice_seconds", [(None, 600), (20, 600), (9, 37), (9, 100_000), (0, None)])
+def test_exact_history_equals_brute_force(spark, whole_ranges, seed, hot_rows, slice_seconds):
     rows = random_rows(120, seed)
     want = brute_force(rows)
     names = ["prev_ip", "time_since_last", "rapid_succession", "ip_hops_30m", "admin_actions_15m", "failed_30m", "events_1h", "is_new_ip"]
@@ -66,11 +74,11 @@ def test_exact_history_equals_brute_force(spark, seed, hot_rows, slice_seconds):
         assert {n: r[n] for n in names} == {n: want[r["event_id"]][n] for n in names}, r["event_id"]
 
 
-@pytest.mark.parametrize("hot_rows", [None, 0, 20])
-def test_serving_history_equals_brute_force(spark, hot_rows):
+@pytest.mark.parametrize("hot_rows, slice_seconds", [(None, 1000), (9, 1000), (20, 1000), (0, None)])
+def test_serving_history_equals_brute_force(spark, whole_ranges, hot_rows, slice_seconds):
     rows = random_rows(150, 3)
     want = brute_force(rows)
-    for r in rolling.with_history(frame(spark, rows), "serving", hot_rows, 1000).collect():
+    for r in rolling.with_history(frame(spark, rows), "serving", hot_rows, slice_seconds).collect():
         w = want[r["event_id"]]
         assert tuple(r[c] for c in rolling.COUNTERS) == w["capped"]
         assert (r["is_first_ip"], r["time_since_last"]) == (w["is_first_ip"], w["time_since_last"])
@@ -87,7 +95,7 @@ def test_windows_are_left_open_and_ties_count_in_order(spark):
 
 def test_ordinary_users_cost_one_exchange(spark):
     rows = frame(spark, random_rows(50, 5))
-    plan = rolling.with_history(rows, "exact", None)._jdf.queryExecution().executedPlan().toString()
+    plan = rolling.history_parts(rows, "exact", None)[0][0]._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(user_id") == 1
     assert plan.count("Exchange") == 1
     assert plan.count("Sort [") == 2
@@ -103,3 +111,18 @@ def test_small_tables_become_local(spark):
     small = spark.range(10).groupBy((F.col("id") % 3).alias("k")).count()
     assert small_or_same(small, 2) is small
     assert sorted(small_or_same(small, 3).collect()) == sorted(small.collect())
+
+
+def test_a_crowded_moment_is_cut_too(spark, whole_ranges):
+    """One user, one microsecond: time cannot cut this, the order can."""
+    rows = [(i, START, "u", f"1.1.1.{i % 3}", "admin", True) for i in range(40)]
+    assert rolling._crowded(frame(spark, rows), 600, 10)
+    got = rolling.with_history(frame(spark, rows), "exact", 10).orderBy("event_id").collect()
+    assert [r["events_1h"] for r in got] == list(range(1, 41)) and [r["ip_changed"] for r in got] == [0] + [1] * 39
+    assert all(r["is_new_ip"] == 1 for r in got)
+
+
+def test_rows_without_a_time_are_kept_without_history(spark):
+    rows = [(1, START, "u", "1.1.1.1", "read", True), (2, None, "u", "1.1.1.1", "read", True)]
+    got = {r["event_id"]: r["events_1h"] for r in rolling.with_history(frame(spark, rows), "exact", 0).collect()}
+    assert got == {1: 1, 2: None}

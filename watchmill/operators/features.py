@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from watchmill import fixed_values as V
 from watchmill import schema as S
 from watchmill.operators.encode import apply_encoders
-from watchmill.operators.keys import HOT_ROWS
-from watchmill.operators.rolling import event_inputs, with_history
+from watchmill.operators.keys import HOT_ROWS, broadcast_if_small
+from watchmill.operators.rolling import event_inputs, history_parts
 
 
 def attach_profile(events: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -97,6 +97,13 @@ def zero_on_error(df: DataFrame) -> DataFrame:
     return df.withColumns({"feature_error": bad, **numbers})
 
 
+def finish_features(rows: DataFrame, codes: DataFrame, mode: str = "exact", unknown: int = 0) -> DataFrame:
+    """Rows with history and profile -> all features. Batch and stream: no exchange in here."""
+    if mode == "serving":
+        rows = rows.withColumn("is_new_ip", F.col("is_first_ip"))
+    return apply_encoders(with_event_features(rows), codes, unknown=unknown)
+
+
 def engineer_features(
     events: DataFrame,
     profiles: DataFrame,
@@ -107,11 +114,12 @@ def engineer_features(
 ) -> DataFrame:
     """Events with all features. ``mode`` is ``exact`` (rolling windows) or ``serving`` (capped counters).
 
-    The history comes first, on the event's own columns: that is the one exchange of the plan, and the
-    profile and encoder joins behind it are map-side.
+    The history comes first, on the event's own columns: that is the one exchange of the plan, and a join with
+    profiles, if they are too many to broadcast, finds the rows where it needs them. Users with very many rows
+    get their few profiles by a join of their own, so that it does not gather their rows again.
     """
-    rows = with_history(event_inputs(events), mode, hot_rows)
-    if mode == "serving":
-        rows = rows.withColumn("is_new_ip", F.col("is_first_ip"))
-    rows = with_event_features(attach_profile(rows, profiles))
-    return apply_encoders(rows, codes, unknown=unknown)
+    parts = []
+    for rows, hot in history_parts(event_inputs(events), mode, hot_rows):
+        people = profiles if hot is None else broadcast_if_small(profiles.join(hot, "user_id", "left_semi"))
+        parts.append(attach_profile(rows, people))
+    return finish_features(reduce(DataFrame.unionByName, parts), codes, mode, unknown)

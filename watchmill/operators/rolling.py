@@ -5,13 +5,19 @@ the sum over ``(t - W, t]``; both frames only ever grow, so a user with n events
 O(n * events per window) as a sliding frame would. Rows with equal times count in ``event_id`` order.
 
 A user may hold a large part of all rows. Such users are cut into time slices that different tasks handle;
-slice totals, one row per user and slice, carry the history over from slice to slice.
+slice totals, one row per user and slice, carry the history over from slice to slice. If one user's events even
+crowd into one slice, range partitions of the full order take the place of the time slices.
+
+Rows without a time have no history; they pass without being moved.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from watchmill import fixed_values as V
 from watchmill.operators.keys import HOT_ROWS, hot_keys
+from watchmill.session import checkpointed
 
 MICROS = 1_000_000
 SLICE_SECONDS = 600
@@ -85,8 +91,20 @@ def _plain(df: DataFrame, mode: str) -> DataFrame:
 # ---- users with very many rows: one exchange on user and time slice -----------------------------------------
 
 
-def _sliced(df: DataFrame, time: str, seconds: int) -> DataFrame:
-    return df.withColumn("slice", F.floor(F.col(time) / F.lit(seconds * MICROS)))
+def _sliced(df: DataFrame, order: list[str], seconds: int | None) -> DataFrame:
+    """Number the slices so that they follow the order within each user.
+
+    Without a width the slices are range partitions, written out because a second sampling could cut elsewhere.
+    """
+    if seconds is None:
+        return checkpointed(df.repartitionByRange("user_id", *order).withColumn("slice", F.spark_partition_id()))
+    return df.withColumn("slice", F.floor(F.col(order[0]) / F.lit(seconds * MICROS)))
+
+
+def _crowded(df: DataFrame, seconds: int, max_rows: int) -> bool:
+    """Whether one user and time slice alone has too many rows for a task."""
+    slices = _sliced(df.select("user_id", "event_us"), ["event_us"], seconds)
+    return not slices.groupBy("user_id", "slice").count().filter(F.col("count") > max_rows).isEmpty()
 
 
 def _carried_last(df: DataFrame) -> DataFrame:
@@ -118,8 +136,8 @@ def _running(df: DataFrame, order: list[str], sums: list[str]) -> DataFrame:
     return joined.drop(*[f"{c}_{part}" for c in sums for part in ("within", "before")])
 
 
-def _split(df: DataFrame, mode: str, seconds: int) -> DataFrame:
-    df = _sliced(df, "event_us", seconds)
+def _split(df: DataFrame, mode: str, seconds: int | None) -> DataFrame:
+    df = _sliced(df, ["event_us", "event_id"], seconds)
     arrival = Window.partitionBy("user_id", "slice").orderBy("event_us", "event_id")
     df = df.withColumn("in_slice", F.lag(F.struct("source_ip", "event_us")).over(arrival))
     df = df.join(_carried_last(df), ["user_id", "slice"], "left")
@@ -151,7 +169,7 @@ def _split_serving(df: DataFrame) -> DataFrame:
     return df.drop("first", *[f"{c}_upto" for c in sums])
 
 
-def _split_exact(df: DataFrame, seconds: int) -> DataFrame:
+def _split_exact(df: DataFrame, seconds: int | None) -> DataFrame:
     """Every event adds its counts when it happens and takes them back when it leaves the window.
 
     The running total of both, taken at an event, is that event's rolling sum.
@@ -173,8 +191,9 @@ def _split_exact(df: DataFrame, seconds: int) -> DataFrame:
     leave = df.select("user_id", "event_id", F.explode(F.array(*leaving)).alias("x")).select(
         "user_id", "event_id", "x.*", F.lit(0).alias("arrives")
     )
-    both = _sliced(arrive.unionByName(leave, allowMissingColumns=True), "at", seconds)
-    both = _running(both, ["at", "arrives", "event_id"], sums)
+    order = ["at", "arrives", "event_id"]
+    both = arrive.drop("slice").unionByName(leave, allowMissingColumns=True)
+    both = _running(_sliced(both, order, seconds), order, sums)
     df = both.filter("arrives = 1").drop("at", "arrives", *sums)
     df = df.withColumns({name: F.col(f"{name}_upto").cast("int") for name in sums})
     df = df.drop(*[f"{name}_upto" for name in sums])
@@ -192,24 +211,43 @@ def _split_exact(df: DataFrame, seconds: int) -> DataFrame:
     return df.drop("seen_user", "seen_ip", "seen_us")
 
 
-# ---- both -----------------------------------------------------------------------------------------------------
+# ---- all together ---------------------------------------------------------------------------------------------
 
 _COMMON = ["prev_ip", "prev_us", "ip_changed", "time_since_last", "rapid_succession", *COUNTERS]
 OUTPUTS = {"exact": [*_COMMON, "is_new_ip"], "serving": [*_COMMON, "is_first_ip"]}
 
 
+def _timeless(df: DataFrame, mode: str) -> DataFrame:
+    types = {"prev_ip": "string", "prev_us": "bigint", "time_since_last": "double"}
+    return df.withColumns({c: F.lit(None).cast(types.get(c, "int")) for c in OUTPUTS[mode]})
+
+
+def history_parts(
+    df: DataFrame, mode: str = "exact", hot_rows: int | None = HOT_ROWS, slice_seconds: int | None = SLICE_SECONDS
+) -> list[tuple[DataFrame, DataFrame | None]]:
+    """The rows with history in parts that need different joins later: (ordinary users, None), (hot ones, their keys)."""
+    keep = [*df.columns, *OUTPUTS[mode]]
+    df = df.withColumn("user_id", F.coalesce("user_id", F.lit("")))
+    timed, timeless = df.filter(F.col("event_us").isNotNull()), df.filter(F.col("event_us").isNull())
+    hot = None if hot_rows is None else hot_keys(timed, "user_id", hot_rows)
+    if hot is None:
+        parts = [(_plain(timed, mode), None)]
+    else:
+        many = timed.join(hot, "user_id", "left_semi")
+        if slice_seconds is not None and _crowded(many, slice_seconds, max(hot_rows, 1)):
+            slice_seconds = None
+        parts = [
+            (_plain(timed.join(hot, "user_id", "left_anti"), mode), None), (_split(many, mode, slice_seconds), hot),
+        ]
+    return [(rows.select(*keep), keys) for rows, keys in [*parts, (_timeless(timeless, mode), None)]]
+
+
 def with_history(
-    df: DataFrame, mode: str = "exact", hot_rows: int | None = HOT_ROWS, slice_seconds: int = SLICE_SECONDS
+    df: DataFrame, mode: str = "exact", hot_rows: int | None = HOT_ROWS, slice_seconds: int | None = SLICE_SECONDS
 ) -> DataFrame:
     """Add the history columns of ``OUTPUTS[mode]`` to rows prepared by ``event_inputs``.
 
     ``hot_rows=None`` skips the look for users with very many rows.
     """
-    keep = [*df.columns, *OUTPUTS[mode]]
-    df = df.withColumn("user_id", F.coalesce("user_id", F.lit("")))
-    hot = None if hot_rows is None else hot_keys(df, "user_id", hot_rows)
-    if hot is None:
-        return _plain(df, mode).select(*keep)
-    ordinary = _plain(df.join(hot, "user_id", "left_anti"), mode)
-    spread = _split(df.join(hot, "user_id", "left_semi"), mode, slice_seconds)
-    return ordinary.select(*keep).unionByName(spread.select(*keep))
+    parts = history_parts(df, mode, hot_rows, slice_seconds)
+    return reduce(DataFrame.unionByName, [rows for rows, _ in parts])

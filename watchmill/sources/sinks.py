@@ -80,15 +80,22 @@ def with_event_date(df: DataFrame, time: str = "event_time") -> DataFrame:
     return df.withColumn("event_date", F.to_date(time))
 
 
+def _write_daily(df: DataFrame, path: str) -> None:
+    """Daily folders, so that a reader's date filter skips the others.
+
+    The rebalance gathers a day's rows into few files of good size and splits a busy day over several tasks.
+    """
+    df.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(path)
+
+
 def append_by_date(df: DataFrame, path: str, time: str = "event_time") -> None:
-    """Append to a table of daily folders, so that a reader's date filter skips the others."""
-    with_event_date(df, time).write.mode("append").partitionBy("event_date").parquet(path)
+    _write_daily(with_event_date(df, time), path)
 
 
 def write_conn(conn: DataFrame, path: str) -> None:
     """Daily folders by the record's own time; ``event_date`` is ``yyyy-MM-dd``."""
     dated = conn.withColumn("event_date", F.to_date(F.timestamp_micros((F.col("ts") * 1_000_000).cast("bigint"))))
-    dated.write.mode("append").partitionBy("event_date").parquet(path)
+    _write_daily(dated, path)
 
 
 def export_profiles(profiles: DataFrame, path: str) -> None:
