@@ -38,7 +38,8 @@ def event_stream(spark: SparkSession, d: str, closing: bool = False) -> DataFram
 def finish(spark, stream, sink=None, mode="append"):
     """Run to the end; the path of the table if there is no other sink."""
     path = fresh_path(spark, "out")
-    jobs.run(stream, sink or jobs.table_sink(path), fresh_path(spark, "checkpoint"), mode).awaitTermination()
+    checkpoint, cores = fresh_path(spark, "checkpoint"), spark.sparkContext.defaultParallelism
+    jobs.run(stream, sink or jobs.table_sink(path), checkpoint, mode, state_partitions=cores).awaitTermination()
     return path
 
 

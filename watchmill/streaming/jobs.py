@@ -19,14 +19,24 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def run(stream: DataFrame, sink: Sink, checkpoint: str, mode: str = "append", every: str | None = None) -> StreamingQuery:
+def run(
+    stream: DataFrame, sink: Sink, checkpoint: str, mode: str = "append", every: str | None = None,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
     """Start a job. ``every=None`` works off what there is and ends; otherwise it is the trigger interval.
 
-    The checkpoint holds the source position, so a restarted job goes on where it stopped.
+    The checkpoint holds the source position, so a restarted job goes on where it stopped. It also fixes the
+    number of state partitions of its first start; choose it for the users and the cores to come.
     """
     writer = stream.writeStream.foreachBatch(sink).outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
-    return writer.start()
+    conf = stream.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
+    try:
+        return writer.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
 
 
 def table_sink(path: str) -> Sink:
