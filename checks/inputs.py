@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from watchmill.operators import ledger, rolling
 from watchmill.operators.encode import fit_encoders
 from watchmill.operators.features import attach_profile, engineer_features
-from watchmill.plans.scoring import predict_scored
+from watchmill.plans.scoring import decide, predict_scored
 from watchmill.session import prepare
 from watchmill.sources import driver_tables as T
 
@@ -31,6 +31,11 @@ def log_events(spark: SparkSession, d: str) -> DataFrame:
     return events(spark, d).select(*[F.col(f.name).cast(f.dataType) for f in NETWORK_LOG])
 
 
+def decided(spark: SparkSession, d: str) -> DataFrame:
+    """Events with scores, flags and actions."""
+    return decide(events(spark, d))
+
+
 def predictions(spark: SparkSession, d: str) -> DataFrame:
     return predict_scored(events(spark, d))
 
@@ -57,7 +62,7 @@ def features(spark: SparkSession, d: str, mode: str = "exact", hot_rows: int | N
 
 
 def alerts(spark: SparkSession, d: str) -> DataFrame:
-    return ledger.create_alerts(predictions(spark, d))
+    return ledger.create_alerts(decided(spark, d))
 
 
 def decisions_on(alerts_: DataFrame) -> DataFrame:

@@ -128,7 +128,7 @@ def a10_alert_messages(spark, d):
     def field(name):
         return F.get_json_object("value", f"$.{name}")
 
-    return sinks.alert_messages(I.predictions(spark, d)).select(
+    return sinks.alert_messages(I.decided(spark, d)).select(
         "key", field("event_id").alias("event_id"), field("threat_score").cast("double").alias("threat_score"),
         field("action").alias("action"), field("user").alias("user_name"), field("timestamp").alias("at"),
     )
@@ -143,13 +143,13 @@ def a11_raw_messages(spark, d):
 
 @query
 def a12_audit_rows(spark, d):
-    rows = sinks.audit_rows(I.predictions(spark, d)).drop("details")
+    rows = sinks.audit_rows(I.decided(spark, d)).drop("details")
     return rows.withColumnRenamed("user", "user_name").withColumn("event_us", F.unix_micros("event_time")).drop("event_time")
 
 
 @query
 def a13_threat_rows(spark, d):
-    rows = sinks.threat_rows(I.predictions(spark, d))
+    rows = sinks.threat_rows(I.decided(spark, d))
     return rows.withColumnRenamed("user", "user_name").withColumn("event_us", F.unix_micros("event_time")).drop("event_time")
 
 
@@ -465,15 +465,15 @@ def d7_not_sent(spark, d):
 
 # ---- aggregates and evaluation -----------------------------------------------------------------------------------------
 
-add("e1_metrics", lambda spark, d: report.pipeline_metrics(I.predictions(spark, d)))
-add("e2_attack_types", lambda spark, d: report.attack_types(I.predictions(spark, d)))
-add("e3_threats_by_action", lambda spark, d: report.threats_by_action(sinks.threat_rows(I.predictions(spark, d))))
-add("e4_threats_by_attack", lambda spark, d: report.threats_by_attack(sinks.threat_rows(I.predictions(spark, d))))
+add("e1_metrics", lambda spark, d: report.pipeline_metrics(I.decided(spark, d)))
+add("e2_attack_types", lambda spark, d: report.attack_types(I.decided(spark, d)))
+add("e3_threats_by_action", lambda spark, d: report.threats_by_action(sinks.threat_rows(I.decided(spark, d))))
+add("e4_threats_by_attack", lambda spark, d: report.threats_by_attack(sinks.threat_rows(I.decided(spark, d))))
 
 
 @query
 def e5_index_counts(spark, d):
-    pred = I.predictions(spark, d)
+    pred = I.decided(spark, d)
     return evaluate.row_counts({
         "audit": sinks.audit_rows(pred), "threats": sinks.threat_rows(pred), "documents": documents(spark, d)
     })
@@ -481,13 +481,13 @@ def e5_index_counts(spark, d):
 
 @query
 def e6_admin_stats(spark, d):
-    return ledger.admin_stats(I.current(spark, d), report.auto_allowed(I.predictions(spark, d)))
+    return ledger.admin_stats(I.current(spark, d), report.auto_allowed(I.decided(spark, d)))
 
 
-add("e7_auto_allowed", lambda spark, d: report.auto_allowed(I.predictions(spark, d)))
-add("e8_health_blocked", lambda spark, d: report.health_blocked(report.pipeline_metrics(I.predictions(spark, d))))
-add("e9_threat_level", lambda spark, d: report.threat_level(I.predictions(spark, d)))
-add("e10_safe_rates", lambda spark, d: report.safe_rates(I.predictions(spark, d)))
+add("e7_auto_allowed", lambda spark, d: report.auto_allowed(I.decided(spark, d)))
+add("e8_health_blocked", lambda spark, d: report.health_blocked(report.pipeline_metrics(I.decided(spark, d))))
+add("e9_threat_level", lambda spark, d: report.threat_level(I.decided(spark, d)))
+add("e10_safe_rates", lambda spark, d: report.safe_rates(I.decided(spark, d)))
 
 
 def offsets(spark, d):
@@ -519,12 +519,12 @@ def e15_dataset_rows(spark, d):
 
 
 def curve(spark, d):
-    return evaluate.pr_curve(I.predictions(spark, d), "threat_score", LABEL)
+    return evaluate.pr_curve(I.decided(spark, d), "threat_score", LABEL)
 
 
 def ensemble_cells(spark, d):
     best = evaluate.best_threshold_value(curve(spark, d))
-    return best, evaluate.confusion(I.predictions(spark, d), F.col("threat_score") >= best, LABEL)
+    return best, evaluate.confusion(I.decided(spark, d), F.col("threat_score") >= best, LABEL)
 
 
 add("e16_pr_curve", lambda spark, d: rounded(curve(spark, d), "precision", "recall", "f1"))
@@ -534,7 +534,7 @@ MEMBERS = {"xgb": "xgb_score", "lgbm": "lgbm_score", "rf": "rf_score", "gb": "gb
 
 
 def member_scores(spark, d):
-    return I.predictions(spark, d).select(LABEL, *[F.col(c).alias(m) for m, c in MEMBERS.items()])
+    return I.decided(spark, d).select(LABEL, *[F.col(c).alias(m) for m, c in MEMBERS.items()])
 
 
 @query
@@ -553,7 +553,7 @@ def a19_report(spark, d):
     return rounded(evaluate.class_report(cells), "precision", "recall", "f1").withColumn("threshold", F.round(F.lit(best), 6))
 
 
-add("e22_windowed_metrics", lambda spark, d: report.windowed_metrics(I.predictions(spark, d)))
+add("e22_windowed_metrics", lambda spark, d: report.windowed_metrics(I.decided(spark, d)))
 
 # ---- lists, splits, windows ----------------------------------------------------------------------------------------------
 
@@ -569,7 +569,7 @@ def g2_audit_log(spark, d):
 
 @query
 def g3_recent_threats(spark, d):
-    rows = lists.recent_threats(sinks.threat_rows(I.predictions(spark, d)))
+    rows = lists.recent_threats(sinks.threat_rows(I.decided(spark, d)))
     return rows.select("event_id", "threat_action", "threat_score", F.col("user").alias("user_name"))
 
 
@@ -582,11 +582,11 @@ def user_ledger(spark, d):
 
 add("g5_search_users", lambda spark, d: lists.search_users(user_ledger(spark, d), "usr-0000", "Sales", "rotated").select("user_id", "role", "status"))
 add("g6_latest_rotated", lambda spark, d: credentials.latest_rotated(user_ledger(spark, d)).select("user_id", "role", "rotation_count", "last_rotation_reason", "created_us"))
-add("g7_threat_feed", lambda spark, d: report.threat_feed(sinks.threat_rows(I.predictions(spark, d))).withColumnRenamed("user", "user_name"))
+add("g7_threat_feed", lambda spark, d: report.threat_feed(sinks.threat_rows(I.decided(spark, d))).withColumnRenamed("user", "user_name"))
 add("g8_newest_arcs", lambda spark, d: report.newest(report.geo_arcs(I.predictions(spark, d)), "timestamp", V.ARCS_KEPT).select("event_id", "is_threat", "threat_score"))
 add("g9_sorted", lambda spark, d: lists.by_user_and_time(I.events(spark, d)).select("event_id", "user_id", F.unix_micros("timestamp").alias("event_us")))
 add("g10_batches", lambda spark, d: lists.batch_admission(I.events(spark, d), "workspace_id"))
-add("g11_high_severity", lambda spark, d: lists.high_severity(I.predictions(spark, d)).select("event_id", "threat_action", "threat_score"))
+add("g11_high_severity", lambda spark, d: lists.high_severity(I.decided(spark, d)).select("event_id", "threat_action", "threat_score"))
 
 
 def add_split(name, method):
@@ -618,8 +618,8 @@ def leases(spark, d):
 
 
 add("w10_previous_lease", lambda spark, d: credentials.revocations(leases(spark, d)).select("lease_id", "previous_lease"))
-add("w11_running_level", lambda spark, d: rounded(report.running_threat_level(I.predictions(spark, d)), "threat_percent"))
-add("w11_level_by_hour", lambda spark, d: rounded(report.running_threat_level_by(I.predictions(spark, d)), "threat_percent"))
+add("w11_running_level", lambda spark, d: rounded(report.running_threat_level(I.decided(spark, d)), "threat_percent"))
+add("w11_level_by_hour", lambda spark, d: rounded(report.running_threat_level_by(I.decided(spark, d)), "threat_percent"))
 
 # ---- scoring and response --------------------------------------------------------------------------------------------------
 
@@ -632,13 +632,13 @@ def f7_ensemble(spark, d):
     return I.events(spark, d).select("event_id", F.round(score, 9).alias("ensemble"))
 
 
-add("f8_is_threat", lambda spark, d: I.predictions(spark, d).select("event_id", "is_threat"))
+add("f8_is_threat", lambda spark, d: I.decided(spark, d).select("event_id", "is_threat"))
 add("f9_without_model", lambda spark, d: scoring.without_model(I.events(spark, d)).select("event_id", "is_threat", "ensemble_score", "xgb_score", "lgbm_score", "threshold", "threat_action"))
 
 
 @query
 def f10_actions(spark, d):
-    return I.predictions(spark, d).groupBy("threat_action").agg(
+    return I.decided(spark, d).groupBy("threat_action").agg(
         F.count("*").alias("n"), F.count_if(LABEL).alias("anomalies")
     )
 
@@ -646,7 +646,7 @@ def f10_actions(spark, d):
 add("f11_affected_service", lambda spark, d: I.events(spark, d).select("event_id", D.affected_service(F.col("anomaly_type"), F.col("action")).alias("service")))
 add("f12_rotation_plan", lambda spark, d: I.predictions(spark, d).select("event_id", "rotation_plan.*").drop("reason"))
 add("f13_rotation_status", lambda spark, d: I.predictions(spark, d).select("event_id", "rotation_status"))
-add("f14_workflows", lambda spark, d: I.predictions(spark, d).select("event_id", F.explode("workflows").alias("w")).select("event_id", "w.*"))
+add("f14_workflows", lambda spark, d: I.decided(spark, d).select("event_id", F.explode("workflows").alias("w")).select("event_id", "w.*"))
 add("f15_distribution", lambda spark, d: I.predictions(spark, d).select("event_id", F.explode("distribution").alias("t")).select("event_id", "t.*"))
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks import inputs as I
 from checks.queries import CONN_COLUMNS, COUNTERS, add, as_read, conn_log, query, repeated_docs
 from watchmill.operators import bridge, conn_etl
-from watchmill.plans.scoring import predict_scored
+from watchmill.plans.scoring import decide
 from watchmill.session import fresh_path, prepare
 from watchmill.sources import driver_tables as T
 from watchmill.sources import sinks, streams
@@ -66,13 +66,13 @@ def a20_merge_metrics(spark, d):
         sink(df, batch_id)
         sink(df, batch_id)
 
-    finish(spark, predict_scored(event_stream(spark, d)), twice)
+    finish(spark, decide(event_stream(spark, d)), twice)
     return jobs.read_metrics(spark, path)
 
 
 @query
 def s1_scored_stream(spark, d):
-    rows = spark.read.parquet(finish(spark, predict_scored(event_stream(spark, d))))
+    rows = spark.read.parquet(finish(spark, decide(event_stream(spark, d))))
     return rows.select(F.col("event_id").cast("string").alias("event_id"), "is_threat", "threat_action", "threat_score")
 
 
@@ -125,14 +125,14 @@ def s5_bridge_stream(spark, d):
 @query
 def s6_incremental_metrics(spark, d):
     path = fresh_path(spark, "metrics")
-    finish(spark, predict_scored(event_stream(spark, d)), jobs.metrics_sink(path))
+    finish(spark, decide(event_stream(spark, d)), jobs.metrics_sink(path))
     return jobs.read_metrics(spark, path)
 
 
 @query
 def s7_fan_out(spark, d):
     events, alerts = fresh_path(spark, "all"), fresh_path(spark, "alerts")
-    finish(spark, predict_scored(event_stream(spark, d)), jobs.fan_out_sink(events, alerts))
+    finish(spark, decide(event_stream(spark, d)), jobs.fan_out_sink(events, alerts))
     both = spark.read.parquet(events).select(F.lit("events").alias("channel")).unionByName(
         spark.read.parquet(alerts).select(F.lit("alerts").alias("channel"))
     )
@@ -170,5 +170,5 @@ def s9_resume(spark, d):
 
 @query
 def s10_windowed_stream(spark, d):
-    path = finish(spark, jobs.rollup_stream(predict_scored(event_stream(spark, d))), mode="update")
+    path = finish(spark, jobs.rollup_stream(decide(event_stream(spark, d))), mode="update")
     return jobs.read_rollups(spark, path)

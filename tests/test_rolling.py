@@ -122,7 +122,8 @@ def test_a_crowded_moment_is_cut_too(spark, whole_ranges):
     assert all(r["is_new_ip"] == 1 for r in got)
 
 
-def test_rows_without_a_time_are_kept_without_history(spark):
-    rows = [(1, START, "u", "1.1.1.1", "read", True), (2, None, "u", "1.1.1.1", "read", True)]
-    got = {r["event_id"]: r["events_1h"] for r in rolling.with_history(frame(spark, rows), "exact", 0).collect()}
-    assert got == {1: 1, 2: None}
+@pytest.mark.parametrize("mode, hot_rows", [("exact", None), ("exact", 0), ("serving", None), ("serving", 0)])
+def test_rows_without_a_time_are_kept_without_history(spark, mode, hot_rows):
+    rows = [(1, START, "u", "1.1.1.1", "read", True), (2, None, "u", "1.1.1.2", "read", True), (3, START, "u", "1.1.1.1", "read", True)]
+    got = {r["event_id"]: (r["events_1h"], r["prev_ip"], r["ip_changed"]) for r in rolling.with_history(frame(spark, rows), mode, hot_rows).collect()}
+    assert got == {1: (1, None, 0), 2: (None, None, None), 3: (2, "1.1.1.1", 0)}

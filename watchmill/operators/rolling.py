@@ -8,7 +8,7 @@ A user may hold a large part of all rows. Such users are cut into time slices th
 slice totals, one row per user and slice, carry the history over from slice to slice. If one user's events even
 crowd into one slice, range partitions of the full order take the place of the time slices.
 
-Rows without a time have no history; they pass without being moved.
+Rows without a time come last in their user's order and get no history.
 """
 
 from functools import reduce
@@ -31,6 +31,10 @@ COUNTERS = {
 }
 
 
+_COMMON = ["prev_ip", "prev_us", "ip_changed", "time_since_last", "rapid_succession", *COUNTERS]
+OUTPUTS = {"exact": [*_COMMON, "is_new_ip"], "serving": [*_COMMON, "is_first_ip"]}
+
+
 def event_inputs(df: DataFrame) -> DataFrame:
     """The numbers that history is made of."""
     return df.withColumns({
@@ -59,9 +63,10 @@ def _finish(df: DataFrame) -> DataFrame:
 
 
 def _plain(df: DataFrame, mode: str) -> DataFrame:
-    arrival = Window.partitionBy("user_id").orderBy("event_us", "event_id")
+    time = F.asc_nulls_last("event_us")
+    arrival = Window.partitionBy("user_id").orderBy(time, "event_id")
     upto = arrival.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    clock = Window.partitionBy("user_id").orderBy("event_us")
+    clock = Window.partitionBy("user_id").orderBy(time)
 
     df = df.withColumns({"prev_ip": F.lag("source_ip").over(arrival), "prev_us": F.lag("event_us").over(arrival)})
     df = df.withColumn("ip_changed", _ip_changed(F.col("prev_ip"), F.col("source_ip")))
@@ -85,7 +90,8 @@ def _plain(df: DataFrame, mode: str) -> DataFrame:
         })
         first_seen = F.min("event_us").over(Window.partitionBy("user_id", "source_ip"))
         df = df.withColumn("is_new_ip", (F.col("event_us") == first_seen).cast("int"))
-    return _finish(df)
+    timed = F.col("event_us").isNotNull()
+    return _finish(df).withColumns({c: F.when(timed, F.col(c)) for c in OUTPUTS[mode]})
 
 
 # ---- users with very many rows: one exchange on user and time slice -----------------------------------------
@@ -213,10 +219,6 @@ def _split_exact(df: DataFrame, seconds: int | None) -> DataFrame:
 
 # ---- all together ---------------------------------------------------------------------------------------------
 
-_COMMON = ["prev_ip", "prev_us", "ip_changed", "time_since_last", "rapid_succession", *COUNTERS]
-OUTPUTS = {"exact": [*_COMMON, "is_new_ip"], "serving": [*_COMMON, "is_first_ip"]}
-
-
 def _timeless(df: DataFrame, mode: str) -> DataFrame:
     types = {"prev_ip": "string", "prev_us": "bigint", "time_since_last": "double"}
     return df.withColumns({c: F.lit(None).cast(types.get(c, "int")) for c in OUTPUTS[mode]})
@@ -228,18 +230,20 @@ def history_parts(
     """The rows with history in parts that need different joins later: (ordinary users, None), (hot ones, their keys)."""
     keep = [*df.columns, *OUTPUTS[mode]]
     df = df.withColumn("user_id", F.coalesce("user_id", F.lit("")))
-    timed, timeless = df.filter(F.col("event_us").isNotNull()), df.filter(F.col("event_us").isNull())
-    hot = None if hot_rows is None else hot_keys(timed, "user_id", hot_rows)
+    hot = None if hot_rows is None else hot_keys(df, "user_id", hot_rows)
     if hot is None:
-        parts = [(_plain(timed, mode), None)]
+        parts = [(_plain(df, mode), None)]
     else:
-        many = timed.join(hot, "user_id", "left_semi")
-        if slice_seconds is not None and _crowded(many, slice_seconds, max(hot_rows, 1)):
+        many = df.join(hot, "user_id", "left_semi")
+        timed, timeless = many.filter(F.col("event_us").isNotNull()), many.filter(F.col("event_us").isNull())
+        if slice_seconds is not None and _crowded(timed, slice_seconds, max(hot_rows, 1)):
             slice_seconds = None
         parts = [
-            (_plain(timed.join(hot, "user_id", "left_anti"), mode), None), (_split(many, mode, slice_seconds), hot),
+            (_plain(df.join(hot, "user_id", "left_anti"), mode), None),
+            (_split(timed, mode, slice_seconds), hot),
+            (_timeless(timeless, mode), hot),
         ]
-    return [(rows.select(*keep), keys) for rows, keys in [*parts, (_timeless(timeless, mode), None)]]
+    return [(rows.select(*keep), keys) for rows, keys in parts]
 
 
 def with_history(
