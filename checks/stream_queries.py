@@ -1,6 +1,6 @@
 """Streaming operators, run over the whole events table in several micro-batches, read back as tables."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from checks import inputs as I
 from checks.queries import CONN_COLUMNS, COUNTERS, add, as_read, conn_log, query, repeated_docs
@@ -14,35 +14,56 @@ from watchmill.streaming import jobs, state
 SLICES = 4
 
 
-def write_slices(df: DataFrame, path: str, of: range = range(SLICES), rows: int | None = None) -> None:
-    """One file set per part of the event ids, written one after the other: they arrive in this order."""
-    total = rows or df.agg(F.max("event_id")).first()[0] + 1
-    for i in of:
-        part = F.floor(F.col("event_id") * SLICES / F.lit(total)) == i
-        df.filter(part).coalesce(1).write.mode("append").parquet(path)
+def slice_of(table: DataFrame):
+    """Which quarter of the event ids a row lies in: ids rise with time, so the slices arrive in time order."""
+    total = table.agg(F.max("event_id")).first()[0] + 1
+    return F.floor(F.col("event_id") * SLICES / F.lit(total))
 
 
-def event_stream(spark: SparkSession, d: str, closing: bool = False) -> DataFrame:
-    """Network events as a stream of the events table. ``closing`` ends it with a later row of no user."""
-    table = T.table(prepare(spark), d, "events")
-    path = fresh_path(spark, "events-stream")
-    write_slices(table, path)
-    if closing:
-        end = table.orderBy(F.desc("ts")).limit(1)
-        end = end.withColumns({"ts": F.col("ts") + F.expr("INTERVAL 2 HOURS"), "user_id": F.lit(-1).cast("bigint")})
-        end.coalesce(1).write.mode("append").parquet(path)
-    rows = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    return T.net_events(spark, d, rows).withColumn("latency_ms", F.col("k") * F.lit(0.25))
+def sliced(table: DataFrame) -> list[DataFrame]:
+    part = slice_of(table)
+    return [table.filter(part == i) for i in range(SLICES)]
+
 
+def closing_row(table: DataFrame) -> DataFrame:
+    """A later row of no user: with it the watermark passes all others."""
+    return table.orderBy(F.desc("ts")).limit(1).withColumns({
+        "ts": F.col("ts") + F.expr("INTERVAL 2 HOURS"), "user_id": F.lit(-1).cast("bigint"),
+    })
 
-def finish(spark, stream, sink=None, mode="append"):
+
+def finish(spark, stream, sink=None, mode="append", checkpoint=None, path=None):
     """Run to the end; the path of the table if there is no other sink."""
-    path = fresh_path(spark, "out")
-    checkpoint, cores = fresh_path(spark, "checkpoint"), spark.sparkContext.defaultParallelism
+    path, checkpoint = path or fresh_path(spark, "out"), checkpoint or fresh_path(spark, "checkpoint")
+    cores = spark.sparkContext.defaultParallelism
     jobs.run(stream, sink or jobs.table_sink(path), checkpoint, mode, state_partitions=cores).awaitTermination()
     return path
 
 
+def replay(spark, parts: list[DataFrame], build, sink=None, mode="append") -> str:
+    """Feed one part after the other to one job, which stops and resumes in between.
+
+    Each part is one micro-batch, into however many files its tasks write it.
+    """
+    files, path, checkpoint = (fresh_path(spark, n) for n in ("arrivals", "out", "checkpoint"))
+    for part in parts:
+        part.write.mode("append").parquet(files)
+        stream = build(spark.readStream.schema(part.schema).parquet(files))
+        finish(spark, stream, sink, mode, checkpoint, path)
+    return path
+
+
+def replay_events(spark, d, build, sink=None, mode="append", closing=False) -> str:
+    """The events table as network events."""
+    table = T.table(prepare(spark), d, "events")
+    people = I.profiles(spark, d)
+
+    def events(rows):
+        return build(T.net_events(spark, d, rows, people).withColumn("latency_ms", F.col("k") * F.lit(0.25)))
+
+    return replay(spark, sliced(table) + ([closing_row(table)] if closing else []), events, sink, mode)
+
+
 @query
 def a5_conn_stream(spark, d):
     stream = conn_etl.convert_conn(streams.stream_conn_log(spark, conn_log(spark, d)))
@@ -66,13 +87,13 @@ def a20_merge_metrics(spark, d):
         sink(df, batch_id)
         sink(df, batch_id)
 
-    finish(spark, decide(event_stream(spark, d)), twice)
+    replay_events(spark, d, decide, twice)
     return jobs.read_metrics(spark, path)
 
 
 @query
 def s1_scored_stream(spark, d):
-    rows = spark.read.parquet(finish(spark, decide(event_stream(spark, d))))
+    rows = spark.read.parquet(replay_events(spark, d, decide))
     return rows.select(F.col("event_id").cast("string").alias("event_id"), "is_threat", "threat_action", "threat_score")
 
 
@@ -87,27 +108,24 @@ def state_output(df, first):
 
 @query
 def s2_serving_state(spark, d):
-    stream = state.serving_history(event_stream(spark, d).select(*STATE_INPUT))
-    return state_output(spark.read.parquet(finish(spark, stream)), "is_first_ip")
+    path = replay_events(spark, d, lambda events: state.serving_history(events.select(*STATE_INPUT)))
+    return state_output(spark.read.parquet(path), "is_first_ip")
 
 
 @query
 def s3_exact_state(spark, d):
-    stream = state.exact_history(event_stream(spark, d, closing=True).select(*STATE_INPUT))
-    return state_output(spark.read.parquet(finish(spark, stream)), "is_new_ip")
+    path = replay_events(spark, d, lambda events: state.exact_history(events.select(*STATE_INPUT)), closing=True)
+    return state_output(spark.read.parquet(path), "is_new_ip")
 
 
 @query
 def s4_late_rows(spark, d):
     """A tenth of the events comes last; what is then behind the watermark lands in the side table."""
     table = I.events(spark, d).select("event_id", "timestamp", "k")
-    total = table.agg(F.max("event_id")).first()[0] + 1
-    path, good, late = (fresh_path(spark, n) for n in ("arrivals", "good", "late"))
-    arrival = F.when(F.col("k") % 10 == 0, SLICES - 1).otherwise(F.floor(F.col("event_id") * SLICES / F.lit(total)))
-    for i in range(SLICES):
-        table.filter(arrival == i).coalesce(1).write.mode("append").parquet(path)
-    rows = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    finish(spark, rows, jobs.late_sink(good, late, 600))
+    good, late = (fresh_path(spark, n) for n in ("good", "late"))
+    arrival = F.when(F.col("k") % 10 == 0, SLICES - 1).otherwise(slice_of(table))
+    parts = [table.filter(arrival == i) for i in range(SLICES)]
+    replay(spark, parts, lambda rows: rows, jobs.late_sink(good, late, 600))
     return spark.read.parquet(good).select("event_id", F.lit(False).alias("late")).unionByName(
         spark.read.parquet(late).select("event_id", F.lit(True).alias("late"))
     )
@@ -115,24 +133,20 @@ def s4_late_rows(spark, d):
 
 @query
 def s5_bridge_stream(spark, d):
-    path = fresh_path(spark, "docs")
-    docs = repeated_docs(spark, d)
-    write_slices(docs, path)
-    rows = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    return spark.read.parquet(finish(spark, bridge.bridge_stream(rows))).select("_es_id")
+    return spark.read.parquet(replay(spark, sliced(repeated_docs(spark, d)), bridge.bridge_stream)).select("_es_id")
 
 
 @query
 def s6_incremental_metrics(spark, d):
     path = fresh_path(spark, "metrics")
-    finish(spark, decide(event_stream(spark, d)), jobs.metrics_sink(path))
+    replay_events(spark, d, decide, jobs.metrics_sink(path))
     return jobs.read_metrics(spark, path)
 
 
 @query
 def s7_fan_out(spark, d):
     events, alerts = fresh_path(spark, "all"), fresh_path(spark, "alerts")
-    finish(spark, decide(event_stream(spark, d)), jobs.fan_out_sink(events, alerts))
+    replay_events(spark, d, decide, jobs.fan_out_sink(events, alerts))
     both = spark.read.parquet(events).select(F.lit("events").alias("channel")).unionByName(
         spark.read.parquet(alerts).select(F.lit("alerts").alias("channel"))
     )
@@ -155,20 +169,12 @@ def s8_poison_messages(spark, d):
 
 @query
 def s9_resume(spark, d):
-    """Half of the data, a stop, the other half: the second run starts where the first one ended."""
-    table = T.table(prepare(spark), d, "events")
-    path, out, checkpoint = (fresh_path(spark, n) for n in ("halves", "out", "checkpoint"))
-    total = table.agg(F.max("event_id")).first()[0] + 1
-    for half in (range(0, SLICES // 2), range(SLICES // 2, SLICES)):
-        write_slices(table, path, half, total)
-        rows = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
-        jobs.run(T.net_events(spark, d, rows), jobs.table_sink(out), checkpoint).awaitTermination()
-    return spark.read.parquet(out).groupBy(F.col("event_id").cast("string").alias("event_id")).agg(
-        F.count("*").alias("times")
-    )
+    """After every slice the job stops; the next run starts where it ended, so each event comes once."""
+    rows = spark.read.parquet(replay_events(spark, d, lambda events: events.select("event_id")))
+    return rows.groupBy(F.col("event_id").cast("string").alias("event_id")).agg(F.count("*").alias("times"))
 
 
 @query
 def s10_windowed_stream(spark, d):
-    path = finish(spark, jobs.rollup_stream(decide(event_stream(spark, d))), mode="update")
+    path = replay_events(spark, d, lambda events: jobs.rollup_stream(decide(events)), mode="update")
     return jobs.read_rollups(spark, path)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks import inputs as I
-from checks.stream_queries import write_slices
+from checks.stream_queries import sliced
 from watchmill import fixed_values as V
 from watchmill.plans import training
 from watchmill.plans.scoring import decide
@@ -32,7 +32,8 @@ def test_stream_and_batch_agree_with_one_bundle(spark, tmp_path):
     })
     path = fresh_path(spark, "log-slices")
     numbered = log.withColumn("event_id", F.col("event_id").cast("bigint"))
-    write_slices(numbered, path)
+    for part in sliced(numbered):
+        part.coalesce(1).write.mode("append").parquet(path)
     end.withColumn("event_id", F.lit(-1).cast("bigint")).coalesce(1).write.mode("append").parquet(path)
     stream = spark.readStream.schema(numbered.schema).option("maxFilesPerTrigger", 1).parquet(path)
     out, alerts = str(tmp_path / "out"), str(tmp_path / "alerts")

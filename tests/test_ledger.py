@@ -86,3 +86,17 @@ def test_offset_lag_ignores_unknown_positions(spark):
     lags = report.offset_lag(spark.createDataFrame(rows, "topic string, partition int, earliest long, latest long, committed long"))
     assert [(r["lag"], r["messages"]) for r in lags.orderBy("partition").collect()] == [(10, 100), (0, 100), (0, 0)]
     assert report.lag_summary(lags).first()["lag_level"] == "ok"
+
+
+def test_offsets_of_a_running_query():
+    from types import SimpleNamespace
+
+    from watchmill.streaming.jobs import offsets_of
+
+    source = {"startOffset": '{"t": {"0": 5}}', "endOffset": '{"t": {"0": 8, "1": 3}}', "latestOffset": '{"t": {"0": 20}}'}
+    rows = offsets_of(SimpleNamespace(lastProgress={"sources": [source, {"endOffset": None}]}))
+    assert rows == [
+        {"topic": "t", "partition": 0, "earliest": 5, "latest": 20, "committed": 8},
+        {"topic": "t", "partition": 1, "earliest": 0, "latest": 3, "committed": 3},
+    ]
+    assert offsets_of(SimpleNamespace(lastProgress=None)) == []

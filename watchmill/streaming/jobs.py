@@ -4,6 +4,7 @@ Every batch is written to its own folder, named by its id, with overwrite: if a
 failure, it replaces what it wrote before.
 """
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from watchmill.operators import report
 from watchmill.sources import sinks
+from watchmill.sources.streams import good_messages, poison_messages
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -74,8 +76,6 @@ def fan_out_sink(events_path: str, alerts_path: str, extra: list[Sink] | None =
 
 def quarantine_sink(good_path: str, poison_path: str) -> Sink:
     """Readable messages to one table, the text of the others to a second."""
-    from watchmill.sources.streams import good_messages, poison_messages
-
     def sink(df: DataFrame, batch_id: int) -> None:
         df.persist()
         try:
@@ -129,8 +129,6 @@ def read_rollups(spark: SparkSession, path: str) -> DataFrame:
 
 def offsets_of(query: StreamingQuery) -> list[dict]:
     """Per source and partition: earliest, latest and processed offset of a broker source's last batch."""
-    import json
-
     progress = query.lastProgress
     rows = []
     for source in (progress or {}).get("sources", []):
