@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from watchmill.llm import mixing, token_files
+from watchmill.llm import mixing, simhash, token_files, url_filter
 from watchmill.llm.common import table
 from watchmill.session import prepare
 
@@ -27,4 +27,14 @@ def op1_mix(spark, d):
 def op2_token_files(spark, d):
     return token_files.token_files(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
+@query
+def op3_urls(spark, d):
+    return url_filter.judge(table(spark, d, "pages"))
+
+
+@query
+def op5_simhash(spark, d):
+    return simhash.near_duplicates(table(spark, d, "documents"))
+
+
 SQL: dict[str, str] = {}
