@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from watchmill.llm import mixing, simhash, token_files, url_filter
+from watchmill.llm import language, mixing, simhash, token_files, url_filter
 from watchmill.llm.common import table
 from watchmill.session import prepare
 
@@ -37,4 +37,10 @@ def op5_simhash(spark, d):
     return simhash.near_duplicates(table(spark, d, "documents"))
 
 
+@query
+def op9_language(spark, d):
+    docs = table(spark, d, "documents")
+    return language.identify(docs, language.learn(docs))
+
+
 SQL: dict[str, str] = {}
