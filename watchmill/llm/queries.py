@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from watchmill.llm import language, mixing, simhash, token_files, url_filter
+from watchmill.llm import embeddings, language, mixing, simhash, token_files, url_filter
 from watchmill.llm.common import table
 from watchmill.session import prepare
 
@@ -43,4 +43,9 @@ def op9_language(spark, d):
     return language.identify(docs, language.learn(docs))
 
 
+@query
+def op7_embeddings(spark, d):
+    return embeddings.near_duplicates(table(spark, d, "embeddings"))
+
+
 SQL: dict[str, str] = {}
