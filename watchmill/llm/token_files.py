@@ -12,8 +12,10 @@ An Elias-Fano sequence of n values below u keeps the low ``floor(log2(u / n))``
 rest in unary, about 2 + log2(u / n) bits a value; ``select(i)`` finds the i-th one bit from a sample every 128 ones.
 """
 
+import re
 import struct
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +28,11 @@ MAGIC = b"WMTOK01"
 FOOTER = "<6QB7s"
 HEAD = "<3Q"
 SAMPLE = 128
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 32 << 20
 CACHED_WORDS = 400_000
 SEPARATOR = "\x00"
+# texts whose new words go to the library together
+GROUP = 64
 
 
 class EliasFano:
@@ -93,7 +97,9 @@ class Encoder:
     """Ids of whole texts by the tokenizers library, each different word encoded once while it is remembered.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those of its words, and those
-    of "word," are those of "word" and ",". Words not met before go to the library in one call, with a separator between.
+    of "word," are those of "word" and ",". A new word of plain Latin letters is one unit for the tokenizer and goes, in
+    lower case and as its byte characters, straight to the library's model; other new words go through the whole
+    tokenizer in one call, with a separator between.
     """
 
     def __init__(self, path: str):
@@ -101,10 +107,15 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_file(path)
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.mark = self._plain(SEPARATOR)
+        self.model = self.library.model.tokenize
+        self.latin = re.compile("[a-zß-öø-ÿ]+").fullmatch
+        byte_character = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {ord(c): byte_character(c)[0][0] for c in map(chr, range(0xDF, 0x100))}
         self.known: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
 
@@ -112,22 +123,27 @@ class Encoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
         if len(self.stems) > CACHED_WORDS:
             self.stems.clear()
-        split, new = {}, {}
+        split, new, stems = {}, {}, self.stems
         for w in words:
             if SEPARATOR in w or "<|" in w:
                 self.known[w] = self._plain(w)
                 continue
-            stem, tail = (w[:-1], w[-1]) if w[-1] in ",." and w[:-1].isalpha() else (w, "")
-            if stem.isascii():
-                stem = stem.lower()
+            stem, tail = (w[:-1], w[-1]) if w[-1] in ",." else (w, "")
+            small = stem.lower()
+            if self.latin(small) and len(small) == len(stem):
+                stem = small
+                if stem not in stems:
+                    ids = [t.id for t in self.model(stem if stem.isascii() else stem.translate(self.spelling))]
+                    stems[stem] = struct.pack(f"<{len(ids)}I", *ids)
+                if tail and tail not in stems:
+                    new[tail] = None
+            else:
+                stem, tail = w, ""
+                if stem not in stems:
+                    new[stem] = None
             split[w] = stem, tail
-            for part in (stem, tail) if tail else (stem,):
-                if part not in self.stems:
-                    new[part] = None
         if new:
             joined = f" {SEPARATOR} ".join(new)
             ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
@@ -135,26 +151,23 @@ class Encoder:
             cuts = np.flatnonzero(ids == mark[0])
             starts, ends = np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]])
             data = ids.tobytes()
-            self.stems.update(zip(new, (data[a:b] for a, b in zip((starts * 4).tolist(), (ends * 4).tolist()))))
-        stems = self.stems
+            stems.update(zip(new, (data[a:b] for a, b in zip((starts * 4).tolist(), (ends * 4).tolist()))))
         self.known.update((w, stems[s] + stems[t] if t else stems[s]) for w, (s, t) in split.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        # U+001C to U+001F separate words for Python but not for the tokenizer
-        odd = [len(self.mark) != 4 or any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
-        words = [[] if o else t.split() for t, o in zip(texts, odd)]
         out = []
-        for i in range(0, len(texts), 64):
-            group = words[i : i + 64]
-            fresh = {w for ws in group for w in ws if w not in self.known}
-            if fresh:
-                if len(self.known) > CACHED_WORDS:
-                    fresh = {w for ws in group for w in ws}
-                self._learn(fresh)
-            known = self.known
-            for text, o, ws in zip(texts[i : i + 64], odd[i : i + 64], group):
-                out.append(self._plain(text) if o else b"".join([known[w] for w in ws]))
+        for i in range(0, len(texts), GROUP):
+            group = texts[i : i + GROUP]
+            # U+001C to U+001F separate words for Python but not for the tokenizer
+            odd = [len(self.mark) != 4 or any(map(t.__contains__, "\x1c\x1d\x1e\x1f")) for t in group]
+            words = [[] if o else t.split() for t, o in zip(group, odd)]
+            if len(self.known) > CACHED_WORDS:
+                self.known.clear()
+            self._learn(set(chain.from_iterable(words)).difference(self.known))
+            ids = self.known.__getitem__
+            for text, o, ws in zip(group, odd, words):
+                out.append(self._plain(text) if o else b"".join(map(ids, ws)))
         return out
 
 
@@ -174,10 +187,11 @@ def _write(tokenizer: str, end_id: int, folder: str):
                 numbers = batch.column("doc_id")
                 n_null += numbers.null_count
                 ids.append(numbers.drop_null().to_numpy())
-                for data in encoder.encode(batch.column("text").to_pylist()):
-                    data += end
-                    lengths.append(len(data) // 4)
-                    out.write(np.frombuffer(data, np.uint32).astype(kind).tobytes())
+                for at in range(0, len(batch), GROUP):
+                    for data in encoder.encode(batch.column("text").slice(at, GROUP).to_pylist()):
+                        data += end
+                        lengths.append(len(data) // 4)
+                        out.write(np.frombuffer(data, np.uint32).astype(kind).tobytes())
             ends = np.cumsum(np.array(lengths, np.int64))
             numbers = np.concatenate(ids) if ids else np.zeros(0, np.int64)
             least = int(numbers[0]) if len(numbers) else 0
