@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from watchmill.llm import embeddings, language, mixing, simhash, token_files, url_filter
+from watchmill.llm import backoff, embeddings, language, lines, mixing, simhash, token_files, url_filter
 from watchmill.llm.common import table
 from watchmill.session import prepare
 
@@ -48,4 +48,14 @@ def op7_embeddings(spark, d):
     return embeddings.near_duplicates(table(spark, d, "embeddings"))
 
 
+@query
+def op4_backoff(spark, d):
+    return backoff.scores(table(spark, d, "documents"))
+
+
+@query
+def op10_lines(spark, d):
+    return lines.dedup(table(spark, d, "documents")).drop("kept")
+
+
 SQL: dict[str, str] = {}
