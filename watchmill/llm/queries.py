@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from watchmill.llm import backoff, embeddings, language, lines, mixing, simhash, token_files, url_filter
+from watchmill.llm import backoff, decontamination, embeddings, language, lines, mixing, simhash, token_files, url_filter
 from watchmill.llm.common import table
 from watchmill.session import prepare
 
@@ -58,4 +58,9 @@ def op10_lines(spark, d):
     return lines.dedup(table(spark, d, "documents")).drop("kept")
 
 
+@query
+def op8_leaks(spark, d):
+    return decontamination.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 SQL: dict[str, str] = {}
