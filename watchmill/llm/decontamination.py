@@ -9,6 +9,7 @@ answer's words that the passage holds.
 """
 
 import re
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ RETRIEVE, VERIFY = 0.5, 0.8
 SHINGLE = 5
 # words of a part of an item; a longer item is indexed in several parts
 PART_WORDS = 256
-SHARD_PARTS, BLOCK_ITEMS = 1024, 16
+SHARD_PARTS, BLOCK_ITEMS = 1024, 4
 WORDS = re.compile(r"[^\W_]+")
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
@@ -74,12 +75,15 @@ class Index:
         order = sorted(range(len(parts)), key=lambda i: (float(own[i][1].sum()), parts[i][:2]))
         self.parts = [parts[i] for i in order]
         self.wanted = np.array([own[i][1].sum() * retrieve for i in order], np.float32)
-        self.impact = np.zeros((len(self.terms), len(parts)), np.float32)
+        n_blocks = -(-len(parts) // BLOCK_ITEMS)
+        impact = np.zeros((len(self.terms), n_blocks * BLOCK_ITEMS), np.float32)
         for k, i in enumerate(order):
-            self.impact[own[i][0], k] = own[i][1]
-        starts = np.arange(0, len(parts), BLOCK_ITEMS)
-        self.most = np.maximum.reduceat(self.impact, starts, axis=1)
-        self.least = np.minimum.reduceat(self.wanted, starts)
+            impact[own[i][0], k] = own[i][1]
+        self.blocks = impact.reshape(len(self.terms), n_blocks, BLOCK_ITEMS)
+        self.most = self.blocks.max(axis=2)
+        # places past the last item are never wanted
+        self.wanted_in = np.append(self.wanted, np.full(n_blocks * BLOCK_ITEMS - len(parts), np.inf, np.float32)).reshape(n_blocks, BLOCK_ITEMS)
+        self.least = self.wanted_in.min(axis=1)
         self.stride = max(len(p[4]) for p in parts)
         self.shingles = [self._grouped(p) for p in self.parts]
 
@@ -96,32 +100,34 @@ class Index:
         sizes = np.bincount(owner, minlength=n_docs)
         starts = np.cumsum(sizes) - sizes
         steps = -(-sizes // self.stride)
-        first = np.cumsum(steps) - steps
-        segment = first[owner] + (np.arange(len(ids)) - starts[owner]) // self.stride
-        on = ids >= 0
-        pairs = np.unique(segment[on] * len(self.terms) + ids[on])
-        total = int(steps.sum())
-        of, term = pairs // len(self.terms), pairs % len(self.terms)
-        bounds = np.zeros((total + 1, self.most.shape[1]), np.float32)
+        passages = np.maximum(steps - 1, np.minimum(steps, 1))
+        first = np.cumsum(passages) - passages
+        # a passage is a stretch of ``stride`` words and the next one of the same document
+        stretch = (np.arange(len(ids)) - starts[owner]) // self.stride
+        ahead = (ids >= 0) & (stretch < passages[owner])
+        behind = (ids >= 0) & (stretch >= 1)
+        n_terms = max(1, len(self.terms))
+        pairs = np.unique(np.concatenate([
+            (first[owner[ahead]] + stretch[ahead]) * n_terms + ids[ahead], (first[owner[behind]] + stretch[behind] - 1) * n_terms + ids[behind]]))
+        of, term = pairs // n_terms, pairs % n_terms
         present, at = np.unique(of, return_index=True)
-        for a in range(0, len(present), 4096):
-            rows, cuts = present[a : a + 4096], at[a : a + 4096]
-            stop = at[a + 4096] if a + 4096 < len(at) else len(term)
-            bounds[rows] = np.add.reduceat(self.most[term[cuts[0] : stop]], cuts - cuts[0], axis=0)
-        last = np.zeros(total, bool)
-        last[(first + steps - 1)[steps > 0]] = True
-        # a passage is a segment and the next one of the same document
-        bounds[:total][~last] += bounds[1:][~last]
-        for seg, block in zip(*np.nonzero(bounds[:total] >= self.least * (1 - 1e-5))):
-            low, high = np.searchsorted(of, [seg, seg + (1 if last[seg] else 2)])
-            present_terms = np.unique(term[low:high])
-            items = slice(block * BLOCK_ITEMS, (block + 1) * BLOCK_ITEMS)
-            score = self.impact[present_terms, items].sum(axis=0)
-            doc = int(np.searchsorted(first, seg, side="right") - 1)
-            begin = starts[doc] + (seg - first[doc]) * self.stride
-            end = min(begin + 2 * self.stride, starts[doc] + sizes[doc])
-            for k in np.flatnonzero(score >= self.wanted[items] * (1 - 1e-5)):
-                yield doc, int(begin), int(end), int(block * BLOCK_ITEMS + k), float(score[k])
+        sizes_of = np.diff(at, append=len(of))
+        for a in range(0, len(present), 1024):
+            cuts, stop = at[a : a + 1024], at[a + 1024] if a + 1024 < len(at) else len(term)
+            bounds = np.add.reduceat(self.most[term[cuts[0] : stop]], cuts - cuts[0], axis=0)
+            row, block = np.nonzero(bounds >= self.least * (1 - 1e-5))
+            for b in range(0, len(row), 1024):
+                r, k = row[b : b + 1024] + a, block[b : b + 1024]
+                n = sizes_of[r]
+                ends = np.cumsum(n)
+                flat = np.repeat(at[r] - (ends - n), n) + np.arange(ends[-1])
+                scores = np.add.reduceat(self.blocks[term[flat], np.repeat(k, n)], ends - n, axis=0)
+                for x, y in zip(*np.nonzero(scores >= self.wanted_in[k] * (1 - 1e-5))):
+                    passage = int(present[r[x]])
+                    doc = int(np.searchsorted(first + passages, passage, side="right"))
+                    begin = int(starts[doc] + (passage - first[doc]) * self.stride)
+                    end = int(min(begin + 2 * self.stride, starts[doc] + sizes[doc]))
+                    yield doc, begin, end, int(k[x] * BLOCK_ITEMS + y), float(scores[x, y])
 
     def overlaps(self, item: int, words: list[str]) -> tuple[float, float]:
         """Shares of the question's shingles and of the answer's words in a passage; 1 for a part that is empty."""
@@ -152,7 +158,7 @@ def _search(index: Index):
                 part = batch.slice(a, 64)
                 texts = [words_of(t or "") for t in part.column("text").to_pylist()]
                 numbers = part.column("doc_id").to_pylist()
-                ids = np.fromiter((get(w, -1) for ws in texts for w in ws), np.int64)
+                ids = np.fromiter(map(get, chain.from_iterable(texts), repeat(-1)), np.int64)
                 owner = np.repeat(np.arange(len(texts)), [len(ws) for ws in texts])
                 starts = np.cumsum([0, *map(len, texts)])
                 best = {}
