@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from watchmill.llm import backoff, decontamination, embeddings, language, lines, mixing, simhash, token_files, url_filter
+from watchmill.llm import backoff, decontamination, embeddings, language, lines, mixing, simhash, substrings, token_files, url_filter
 from watchmill.llm.common import table
 from watchmill.session import prepare
 
@@ -63,4 +63,9 @@ def op8_leaks(spark, d):
     return decontamination.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+@query
+def op6_substrings(spark, d):
+    return substrings.repeated_bytes(table(spark, d, "documents")).drop("spans")
+
+
 SQL: dict[str, str] = {}
