@@ -295,12 +295,14 @@ def repeated_bytes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     tasks = written(left.join(cores.drop("any"), ["gram", "side", "core"]), "cores")
     texts = rows.repartition(pieces(text_bytes(docs), TEXT_BYTES), "dk", "th")
     task = F.collect_list(F.struct("pos", "side", "gram", "core", "need")).alias("tasks")
-    usual = texts.join(tasks.filter(F.col("k") <= crowd).groupBy("dk", "th").agg(task), ["dk", "th"]).select("dk", "th", "bytes", "tasks")
+    # the same columns wherever the texts are joined, so that their shuffle is used again
+    whole = ["doc_id", "dk", "th", "bytes", "tasks"]
+    usual = texts.join(tasks.filter(F.col("k") <= crowd).groupBy("dk", "th").agg(task), ["dk", "th"]).select(*whole)
     bucket = ["side", "gram", "core"]
     spans = usual.mapInArrow(_contexts, CONTEXT).repartition(*bucket).sortWithinPartitions(*bucket).mapInArrow(_matches, SPAN).union(settled)
     crowded = tasks.filter(F.col("k") > crowd)
     if crowded.limit(1).count():
-        last = texts.join(crowded.groupBy("dk", "th").agg(task), ["dk", "th"]).select("dk", "th", "bytes", "tasks").mapInArrow(
+        last = texts.join(crowded.groupBy("dk", "th").agg(task), ["dk", "th"]).select(*whole).mapInArrow(
             _strings, "k1 long, k2 long, dk long, th int, start long")
         twice = last.groupBy("k1", "k2").count().filter("count > 1").select("k1", "k2")
         spans = spans.union(last.join(twice, ["k1", "k2"]).select("dk", "th", "start", (F.col("start") + LENGTH).alias("stop")))
