@@ -19,8 +19,8 @@ from watchmill.session import written
 
 ORDER = 2
 ALPHA = 0.4
-CHUNK_WORDS = 1_000_000
-PART_BYTES = 16 << 20
+CHUNK_WORDS = 250_000
+PART_BYTES = 4 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -99,7 +99,7 @@ def _chunks(batches):
     for batch in batches:
         for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
             words = (text.as_py() or "").lower().encode("utf-8", "surrogatepass").split()
-            if len(known) > 500_000:
+            if len(known) > 200_000:
                 known.clear()
             for w in set(words).difference(known):
                 known[w] = xxh64_intdigest(w)

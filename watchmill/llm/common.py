@@ -41,3 +41,8 @@ def open_folder(uri: str):
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), urlparse(uri).path
     return fs.FileSystem.from_uri(uri)
+
+
+def packed(docs: DataFrame, **columns: Column) -> DataFrame:
+    """``docs`` as one column ``row`` beside new ``columns``, whose names then clash with nothing; ``row.*`` undoes it."""
+    return docs.select(F.struct(*docs.columns).alias("row"), *[c.alias(name) for name, c in columns.items()])

@@ -10,7 +10,7 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from watchmill.llm.common import word_count
+from watchmill.llm.common import packed, word_count
 from watchmill.operators.ordering import running_totals
 from watchmill.session import written
 
@@ -71,9 +71,10 @@ def multipliers(cells: DataFrame, aims: DataFrame, most: int = MOST, steps: int
         rate, feature = _rate(most), F.col("size") * F.col("n_docs") / F.col("source_size")
         words = F.col("n") * F.col("size") * rate
         open_ = F.col("multiplier") * feature < math.log(most)
+        exact = "decimal(38,9)"  # sums that do not depend on the order of the rows, so that reruns agree
         sums = cells.join(state, "sid").filter(~F.col("full") & (F.col("size") > 0)).groupBy("sid").agg(
-            (F.sum(words) - F.first("target")).alias("gap"), F.sum(F.when(open_, words * feature).otherwise(0.0)).alias("slope"))
-        both = state.join(sums, "sid", "left")
+            F.sum(words.cast(exact)).cast("double").alias("words"), F.sum(F.when(open_, words * feature).otherwise(0.0).cast(exact)).cast("double").alias("slope"))
+        both = state.join(sums, "sid", "left").withColumn("gap", F.col("words") - F.col("target"))
         low, high = F.when(F.col("gap") < 0, F.col("multiplier")).otherwise(F.col("lo")), F.when(F.col("gap") > 0, F.col("multiplier")).otherwise(F.col("hi"))
         newton = F.when(F.col("slope") > 0, F.col("multiplier") - F.col("gap") / F.col("slope"))
         inside = newton.isNotNull() & (low.isNull() | (newton > low)) & (high.isNull() | (newton < high))
@@ -132,9 +133,8 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most
 
     Rows that agree in doc_id, source and size share their copies evenly, rounded to the nearest number.
     """
-    plan = mix(docs, weights, share, most).groupBy("doc_id", "source", "size").agg(F.avg("copies").alias("_copies"))
-    plan = plan.toDF("_doc", "_source", "_size", "_copies")
-    keyed = docs.withColumn("_n", word_count("text"))
-    on = keyed["doc_id"].eqNullSafe(plan["_doc"]) & keyed["source"].eqNullSafe(plan["_source"]) & (keyed["_n"] == plan["_size"])
-    times = F.round("_copies").cast("int")
-    return keyed.join(plan, on).withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times))).select(*docs.columns)
+    plan = mix(docs, weights, share, most).groupBy("doc_id", "source", "size").agg(F.avg("copies").alias("copies"))
+    keyed = packed(docs, id=F.col("doc_id").cast("long"), of=F.col("source").cast("string"), words=word_count("text"))
+    on = F.col("id").eqNullSafe(F.col("doc_id")) & F.col("of").eqNullSafe(F.col("source")) & (F.col("words") == F.col("size"))
+    times = F.round("copies").cast("int")
+    return keyed.join(plan, on).select("row", F.explode(F.array_repeat(F.lit(1), times))).select("row.*")

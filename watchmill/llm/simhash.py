@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from watchmill.llm.common import packed
 from watchmill.llm.components import components
 from watchmill.session import written
 
@@ -82,5 +83,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row per group of near-duplicates, that with the smallest doc_id."""
-    kept = near_duplicates(docs).groupBy("component_id").agg(F.min("doc_id").alias("_kept")).select("_kept")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"])).dropDuplicates(["doc_id"]).select(*docs.columns)
+    kept = near_duplicates(docs).groupBy("component_id").agg(F.min("doc_id").alias("kept")).select("kept")
+    rows = packed(docs, id=F.col("doc_id").cast("long"))
+    return rows.join(kept, F.col("id").eqNullSafe(F.col("kept"))).dropDuplicates(["id"]).select("row.*")
