@@ -33,12 +33,12 @@ def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def _planes(values: np.ndarray) -> bytes:
     """Bytes of the same weight together: the high ones are mostly zero and vanish when Spark compresses."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
 
 
 def _values(data: bytes, kind) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, len(data) // width).T).view(kind).ravel()
 
 
 class Chunk:
@@ -106,7 +106,7 @@ def _chunks(batches):
             docs.append(doc)
             found.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
             lengths.append(len(words))
-            size += len(words)
+            size += len(words) + 1
             if size >= CHUNK_WORDS:
                 yield row()
                 docs, found, lengths, n, size = [], [], [], n + 1, 0
