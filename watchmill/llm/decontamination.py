@@ -75,14 +75,15 @@ class Index:
         order = sorted(range(len(parts)), key=lambda i: (float(own[i][1].sum()), parts[i][:2]))
         self.parts = [parts[i] for i in order]
         self.wanted = np.array([own[i][1].sum() * retrieve for i in order], np.float32)
-        n_blocks = -(-len(parts) // BLOCK_ITEMS)
-        impact = np.zeros((len(self.terms), n_blocks * BLOCK_ITEMS), np.float32)
+        self.width = BLOCK_ITEMS
+        n_blocks = -(-len(parts) // self.width)
+        impact = np.zeros((len(self.terms), n_blocks * self.width), np.float32)
         for k, i in enumerate(order):
             impact[own[i][0], k] = own[i][1]
-        self.blocks = impact.reshape(len(self.terms), n_blocks, BLOCK_ITEMS)
+        self.blocks = impact.reshape(len(self.terms), n_blocks, self.width)
         self.most = self.blocks.max(axis=2)
         # places past the last item are never wanted
-        self.wanted_in = np.append(self.wanted, np.full(n_blocks * BLOCK_ITEMS - len(parts), np.inf, np.float32)).reshape(n_blocks, BLOCK_ITEMS)
+        self.wanted_in = np.append(self.wanted, np.full(n_blocks * self.width - len(parts), np.inf, np.float32)).reshape(n_blocks, self.width)
         self.least = self.wanted_in.min(axis=1)
         self.stride = max(len(p[4]) for p in parts)
         self.shingles = [self._grouped(p) for p in self.parts]
@@ -127,7 +128,7 @@ class Index:
                     doc = int(np.searchsorted(first + passages, passage, side="right"))
                     begin = int(starts[doc] + (passage - first[doc]) * self.stride)
                     end = int(min(begin + 2 * self.stride, starts[doc] + sizes[doc]))
-                    yield doc, begin, end, int(k[x] * BLOCK_ITEMS + y), float(scores[x, y])
+                    yield doc, begin, end, int(k[x] * self.width + y), float(scores[x, y])
 
     def overlaps(self, item: int, words: list[str]) -> tuple[float, float]:
         """Shares of the question's shingles and of the answer's words in a passage; 1 for a part that is empty."""
