@@ -11,6 +11,16 @@ from watchmill.session import prepare
 from watchmill.sources import driver_tables as T
 
 
+PROCESSES = (
+    "Chrome.exe", "FIREFOX", "msedge", "Outlook.exe", "thunderbird", "PowerShell.exe", "cmd.exe", "ssh", "SSHD", "dns", "NSLookup",
+    "custom_app", "ssh from chrome", "cmd /c nslookup", "", None,
+)
+COMMANDS = (
+    "powershell -enc base64", "MIMIKATZ.exe", "cmd /c Net User bob /add", "whoami", "notepad.exe", "scan Lateral path", "ping DOMAIN_CONTROLLER",
+    "PsExec -s cmd", "wmic process list", "certutil -decode a b", "netuser", "ls -la", "", None, "who am i", "psexe c",
+)
+
+
 def profiles(spark: SparkSession, d: str) -> DataFrame:
     return T.profiles(prepare(spark), d)
 
@@ -20,6 +30,14 @@ def events(spark: SparkSession, d: str, people: DataFrame | None = None) -> Data
     return rows.withColumn("latency_ms", F.col("k") * F.lit(0.25))
 
 
+def commands(spark: SparkSession, d: str) -> DataFrame:
+    """Events with a process name and a command line chosen by ``k``; all keys of both lists occur."""
+    def chosen(words):
+        return F.element_at(F.array(*[F.lit(w) for w in words]), (F.col("k") % len(words) + 1).cast("int"))
+
+    return events(spark, d).select("event_id", chosen(PROCESSES).alias("process_name"), chosen(COMMANDS).alias("command_line"))
+
+
 def events_and_profiles(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     people = profiles(spark, d)
     return events(spark, d, people), people

@@ -1,5 +1,7 @@
 """What each query must return, as SQL over the given tables."""
 
+from checks.inputs import COMMANDS, PROCESSES
+
 PROFILES = """
 profiles AS (
  SELECT concat('USR-', lpad(CAST(c.c_custkey AS VARCHAR), 5, '0')) AS user_id,
@@ -280,6 +282,7 @@ def oracle_sql() -> dict[str, str]:
     # --- sources and sinks ---
     o["a1_network_logs"] = q(f"SELECT {ROUND_TRIP_TEXT_ID} FROM net_events")
     o["a2_profiles"] = q("SELECT * EXCLUDE (custkey) FROM profiles")
+    o["a1_network_logs_reordered"], o["a2_profiles_reordered"] = o["a1_network_logs"], o["a2_profiles"]
     o["a3_events_json"] = q(f"SELECT {ROUND_TRIP_TEXT_ID} FROM net_events")
     o["a4_conn_log"] = q(f"SELECT {CONN_COLS} FROM conn")
     o["a5_conn_stream"] = o["a4_conn_log"]
@@ -369,6 +372,15 @@ def oracle_sql() -> dict[str, str]:
                 ("powershell", "smb"), ("cmd", "smb"), ("ssh", "ssh"), ("sshd", "ssh"), ("dns", "dns"), ("nslookup", "dns"))
         ) + " ELSE 'unknown' END AS service FROM documents"
     )
+    def chosen(words):
+        return "list_extract([" + ", ".join("NULL" if w is None else f"'{w}'" for w in words) + f"], CAST(k % {len(words)} + 1 AS INT))"
+
+    o["b15_guess_service_hosts"] = q(
+        o["b15_guess_service"].replace("doc_id", "event_id").replace("FROM documents", f"FROM (SELECT event_id, {chosen(PROCESSES)} AS text FROM net_events)"))
+    command_lines = f"(SELECT event_id, {chosen(COMMANDS)} AS text FROM net_events)"
+    o["b17_is_suspicious_commands"] = q(f"SELECT event_id, coalesce({SUSPICIOUS}, FALSE) AS suspicious FROM {command_lines}")
+    o["b18_ids_alerts_commands"] = q(
+        f"SELECT event_id, 'ET POLICY Suspicious Process Activity Detected' AS msg FROM {command_lines} WHERE {SUSPICIOUS}")
     o["b16_classify_event"] = (
         "SELECT event_id, CASE event_type WHEN 'view' THEN 'network' WHEN 'click' THEN 'process' WHEN 'purchase' THEN 'file' "
         "WHEN 'signup' THEN 'authentication' ELSE 'network' END AS category FROM events"
@@ -543,6 +555,14 @@ def oracle_sql() -> dict[str, str]:
     o["g10_batches"] = q("SELECT workspace_id, count(*) AS events, count(*) <= 100 AS accepted FROM net_events GROUP BY 1")
     o["g11_high_severity"] = q("SELECT event_id, threat_action, threat_score FROM pred WHERE high")
     o["g12_split_time"] = q("SELECT event_id, CASE WHEN rn <= floor(n * 0.8) THEN 'train' ELSE 'test' END AS part FROM ranked", TIME_RANK)
+    timeless = """
+timed AS (SELECT event_id, user_id, CASE WHEN event_id % 7 <> 0 THEN us END AS us FROM net_events),
+placed AS (SELECT *, row_number() OVER (ORDER BY us NULLS LAST, event_id) AS rn, CAST(floor(count(*) OVER () * 0.8) AS BIGINT) AS cut,
+  row_number() OVER (ORDER BY user_id, us NULLS LAST, event_id) AS rn_user FROM timed)"""
+    o["g12_split_null_times"] = q("SELECT event_id, CASE WHEN rn <= cut AND us IS NOT NULL THEN 'train' ELSE 'test' END AS part FROM placed", timeless)
+    o["g12_split_user_null_times"] = q(
+        "SELECT event_id, CASE WHEN rn_user <= cut AND (us IS NOT NULL OR user_id < (SELECT user_id FROM placed WHERE rn_user = cut)) "
+        "THEN 'train' ELSE 'test' END AS part FROM placed", timeless)
     o["g12_split_user_order"] = q("SELECT event_id, CASE WHEN rn_user <= floor(n * 0.8) THEN 'train' ELSE 'test' END AS part FROM ranked", TIME_RANK)
     o["w1_prev_ip"] = q("SELECT event_id, prev_ip FROM hist")
     o["w2_time_gap"] = q("SELECT event_id, time_since_last FROM hist")
@@ -570,7 +590,10 @@ def oracle_sql() -> dict[str, str]:
     o["f11_affected_service"] = q("SELECT event_id, service_at_risk AS service FROM pred")
     o["f12_rotation_plan"] = q(
         f"SELECT event_id, {PLAN_STATUS} AS status, high AS user_rotation, high AND threat_action = 'CRITICAL_ALERT' AS infra_rotation, "
-        "CASE WHEN high AND threat_action = 'CRITICAL_ALERT' THEN service_at_risk END AS affected_service FROM pred"
+        "CASE WHEN high AND threat_action = 'CRITICAL_ALERT' THEN service_at_risk END AS affected_service, "
+        "CASE WHEN high AND threat_action = 'CRITICAL_ALERT' THEN 'CRITICAL_ALERT: both user and infrastructure credentials will be rotated on admin approval' "
+        "WHEN high THEN 'BLOCK: user credentials will be rotated on admin approval' "
+        "WHEN is_threat AND threat_action = 'MONITOR' THEN 'MONITOR-level threat: logged for observation, no rotation triggered' END AS reason FROM pred"
     )
     o["f13_rotation_status"] = q(f"SELECT event_id, {ROTATION_STATUS} AS rotation_status FROM pred")
     o["f14_workflows"] = q("SELECT event_id, name, 'triggered' AS status, priority FROM flows", FLOWS)

@@ -60,12 +60,27 @@ def a1_network_logs(spark, d):
 
 @query
 def a2_profiles(spark, d):
+    return profiles_read_back(spark, I.profiles(spark, d))
+
+
+def profiles_read_back(spark, people, order=lambda columns: columns):
     path = fresh_path(spark, "profiles") + ".csv"
-    I.profiles(spark, d).write.csv(path, header=True)
-    columns = I.profiles(spark, d).columns
-    # a CSV reader takes fields by position, so the file's own columns are named
-    rows = spark.read.schema(", ".join(f"{c} {S.USER_PROFILE[c].dataType.simpleString()}" for c in columns))
-    return rows.csv(path, header=True)
+    people.select(*order(people.columns)).write.csv(path, header=True)
+    return files.read_profiles(spark, path).select(*people.columns)
+
+
+@query
+def a2_profiles_reordered(spark, d):
+    """Columns of the file in another order."""
+    return profiles_read_back(spark, I.profiles(spark, d), sorted)
+
+
+@query
+def a1_network_logs_reordered(spark, d):
+    path = fresh_path(spark, "logs")
+    rows = I.log_events(spark, d)
+    sinks.write_network_logs(rows.select(*sorted(rows.columns, reverse=True)), path)
+    return as_read(files.read_network_logs(spark, path))
 
 
 @query
@@ -274,6 +289,9 @@ add("b15_guess_service", lambda spark, d: documents(spark, d).select("doc_id", H
 add("b16_classify_event", lambda spark, d: T.raw_types(prepare(spark), d).select("event_id", H.classify_event(F.col("event_type")).alias("category")))
 add("b17_is_suspicious", lambda spark, d: documents(spark, d).select("doc_id", H.is_suspicious(F.col("text")).alias("suspicious")))
 add("b18_ids_alerts", lambda spark, d: conn_etl.ids_alerts(T.raw_records(prepare(spark), d)))
+add("b15_guess_service_hosts", lambda spark, d: I.commands(spark, d).select("event_id", H.guess_service(F.col("process_name")).alias("service")))
+add("b17_is_suspicious_commands", lambda spark, d: I.commands(spark, d).select("event_id", H.is_suspicious(F.col("command_line")).alias("suspicious")))
+add("b18_ids_alerts_commands", lambda spark, d: conn_etl.ids_alerts(I.commands(spark, d)))
 add("b19_to_ecs", lambda spark, d: conn_etl.to_ecs(T.raw_types(prepare(spark), d)))
 
 
@@ -589,9 +607,10 @@ add("g10_batches", lambda spark, d: lists.batch_admission(I.events(spark, d), "w
 add("g11_high_severity", lambda spark, d: lists.high_severity(I.decided(spark, d)).select("event_id", "threat_action", "threat_score"))
 
 
-def add_split(name, method):
+def add_split(name, method, timeless="false"):
     def run(spark, d):
-        train, test = ordering.split(I.inputs(spark, d), V.SPLIT_RATIO, method)
+        rows = I.inputs(spark, d).withColumn("event_us", F.when(~F.expr(timeless), F.col("event_us")))
+        train, test = ordering.split(rows, V.SPLIT_RATIO, method)
         return train.select("event_id", F.lit("train").alias("part")).unionByName(test.select("event_id", F.lit("test").alias("part")))
 
     add(name, run)
@@ -599,6 +618,8 @@ def add_split(name, method):
 
 add_split("g12_split_time", "time")
 add_split("g12_split_user_order", "user")
+add_split("g12_split_null_times", "time", "event_id % 7 = 0")
+add_split("g12_split_user_null_times", "user", "event_id % 7 = 0")
 add("w1_prev_ip", lambda spark, d: I.exact(spark, d).select("event_id", "prev_ip"))
 add("w2_time_gap", lambda spark, d: I.exact(spark, d).select("event_id", "time_since_last"))
 add("w3_rolling_15m", lambda spark, d: I.exact(spark, d).select("event_id", "admin_actions_15m"))
@@ -644,7 +665,7 @@ def f10_actions(spark, d):
 
 
 add("f11_affected_service", lambda spark, d: I.events(spark, d).select("event_id", D.affected_service(F.col("anomaly_type"), F.col("action")).alias("service")))
-add("f12_rotation_plan", lambda spark, d: I.predictions(spark, d).select("event_id", "rotation_plan.*").drop("reason"))
+add("f12_rotation_plan", lambda spark, d: I.predictions(spark, d).select("event_id", "rotation_plan.*"))
 add("f13_rotation_status", lambda spark, d: I.predictions(spark, d).select("event_id", "rotation_status"))
 add("f14_workflows", lambda spark, d: I.decided(spark, d).select("event_id", F.explode("workflows").alias("w")).select("event_id", "w.*"))
 add("f15_distribution", lambda spark, d: I.predictions(spark, d).select("event_id", F.explode("distribution").alias("t")).select("event_id", "t.*"))

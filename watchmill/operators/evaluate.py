@@ -108,10 +108,11 @@ def roc_auc(df: DataFrame, members: list[str], label: str) -> DataFrame:
         F.sum("pos").alias("all_pos"),
         F.sum("neg").alias("all_neg"),
         F.min(F.col("neg_upto") - F.col("neg")).alias("base"),
-        F.sum(F.col("pos") * (F.col("neg_upto") - F.col("neg") + F.col("neg") / 2)).alias("raw"),
+        F.sum(F.col("pos").cast("double") * (F.col("neg_upto") - F.col("neg") + F.col("neg") / 2)).alias("raw"),
     )
-    pairs = F.col("all_pos") * F.col("all_neg")
-    won = F.col("raw") - F.col("base") * F.col("all_pos")
+    # products of counts pass the range of bigint at scale
+    pairs = F.col("all_pos").cast("double") * F.col("all_neg")
+    won = F.col("raw") - F.col("base").cast("double") * F.col("all_pos")
     return per.select("model", F.when(pairs > 0, won / pairs).alias("roc_auc"))
 
 

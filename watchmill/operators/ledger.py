@@ -39,7 +39,7 @@ def first_decisions(decisions: DataFrame) -> DataFrame:
 
     An aggregate, not a window: repeated decisions are combined before the shuffle.
     """
-    chosen = F.min_by(F.struct("decision", "at_us", "admin_notes"), F.struct("at_us", "decision_id"))
+    chosen = F.min_by(F.struct("decision", "at_us", "admin_notes", "decision_id"), F.struct("at_us", "decision_id"))
     return decisions.groupBy("alert_id").agg(chosen.alias("d")).select("alert_id", "d.*")
 
 
@@ -145,11 +145,11 @@ def approval_message(results: DataFrame) -> DataFrame:
 
 
 def decision_answers(alerts: DataFrame, decisions: DataFrame) -> DataFrame:
-    """What each decision, also a late or an unknown one, is told."""
-    first = first_decisions(decisions).select("alert_id", F.col("decision").alias("valid"), F.col("at_us").alias("valid_us"))
+    """What each decision, also a late or an unknown one, is told. Of equal ones at one time, one succeeds."""
+    first = first_decisions(decisions).select("alert_id", F.col("decision").alias("valid"), F.col("decision_id").alias("valid_id"))
     known = alerts.select("alert_id", F.lit(True).alias("known"))
     rows = decisions.join(first, "alert_id").join(known, "alert_id", "left")
-    effective = F.col("known") & (F.col("decision") == F.col("valid")) & (F.col("at_us") == F.col("valid_us"))
+    effective = F.col("known") & (F.col("decision_id") == F.col("valid_id"))
     done = F.when(F.col("valid") == "approve", "approved").otherwise("rejected")
     message = (
         F.when(F.col("known").isNull(), F.concat(F.lit("Alert "), F.col("alert_id"), F.lit(" not found")))

@@ -9,6 +9,8 @@ from watchmill.session import checkpointed
 
 # a tie of this many rows is sorted as a top-k; a larger one by range partitions
 TOP_ROWS = 1_000_000
+# before every time there is
+NO_TIME = -(1 << 63)
 
 
 def bucketed_totals(df: DataFrame, bucket: str, order: list[Column], sums: list[str]) -> DataFrame:
@@ -88,32 +90,46 @@ def _kth_key(df: DataFrame, key: str, k: int) -> object:
 
 
 def time_split_point(df: DataFrame, ratio: float, us: str = "event_us", key: str = "event_id") -> SplitPoint:
-    """Where the first ``floor(n * ratio)`` rows end in time order. Reads two columns; sorts nothing large."""
-    k = int(df.count() * ratio)
+    """Where the first ``floor(n * ratio)`` rows end in time order. Reads two columns; sorts nothing large.
+
+    Rows without a time come last: they count, but the point never lies among them.
+    """
+    n, timed = df.agg(F.count("*"), F.count(us)).first()
+    k = min(int(n * ratio), timed)
     if k == 0:
         return SplitPoint((us, key), None)
-    value, rest = _kth_time(df.select(us, key), us, k)
+    value, rest = _kth_time(df.select(us, key).filter(F.col(us).isNotNull()), us, k)
     return SplitPoint((us, key), (value, _kth_key(df.filter(F.col(us) == value), key, rest)))
 
 
 def user_split_point(
     df: DataFrame, ratio: float, user: str = "user_id", us: str = "event_us", key: str = "event_id"
 ) -> SplitPoint:
-    """The same in the order of user, then time."""
-    k = int(df.count() * ratio)
+    """The same in the order of user, then time; of each user, rows without a time come last, and so do rows
+    without a user. The point lies at a row with both."""
+    n, known = df.agg(F.count("*"), F.count(user)).first()
+    k = min(int(n * ratio), known)
     if k == 0:
         return SplitPoint((user, us, key), None)
-    totals = running_totals(df.groupBy(user).agg(F.count("*").alias("n")), [user], ["n"])
+    users = df.filter(F.col(user).isNotNull()).groupBy(user).agg(F.count("*").alias("n"), F.count(us).alias("timed"))
+    totals = running_totals(users, [user], ["n"])
     found = totals.filter(F.col("n_upto") >= k).orderBy(user).limit(1).first()
-    one = df.filter(F.col(user) == found[user])
-    value, rest = _kth_time(one.select(us, key), us, k - (found["n_upto"] - found["n"]))
+    k = min(k - (found["n_upto"] - found["n"]), found["timed"])
+    if k == 0:
+        return SplitPoint((user, us, key), (found[user], NO_TIME, None))
+    one = df.filter((F.col(user) == found[user]) & F.col(us).isNotNull())
+    value, rest = _kth_time(one.select(us, key), us, k)
     return SplitPoint((user, us, key), (found[user], value, _kth_key(one.filter(F.col(us) == value), key, rest)))
 
 
 def split(df: DataFrame, ratio: float, method: str = "time") -> tuple[DataFrame, DataFrame]:
-    """First and second part of the rows. The point is a literal, so each part is a plain filter on the scan."""
+    """First and second part of the rows, every row in one of them. The point is a literal, so each part is a filter.
+
+    A row that cannot be compared with the point, as it has no time, is in the second part; by user, an earlier
+    user's row without a time is in the first.
+    """
     point = time_split_point(df, ratio) if method == "time" else user_split_point(df, ratio)
-    first = point.before_or_at()
+    first = F.coalesce(point.before_or_at(), F.lit(False))
     return df.filter(first), df.filter(~first)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from watchmill import fixed_values as V
 from watchmill.operators.keys import HOT_ROWS, hot_keys
-from watchmill.session import checkpointed
+from watchmill.session import checkpointed, written
 
 MICROS = 1_000_000
 SLICE_SECONDS = 600
@@ -150,7 +150,8 @@ def _split(df: DataFrame, mode: str, seconds: int | None) -> DataFrame:
     df = df.withColumn("prev", F.coalesce("in_slice", "carried"))
     df = df.withColumns({"prev_ip": F.col("prev.source_ip"), "prev_us": F.col("prev.event_us")})
     df = df.withColumn("ip_changed", _ip_changed(F.col("prev_ip"), F.col("source_ip")))
-    df = df.drop("in_slice", "carried", "prev")
+    # read five times from here on
+    df = written(df.drop("in_slice", "carried", "prev"), "hot-previous")
     if mode == "serving":
         done = _split_serving(df)
     else:
@@ -234,7 +235,7 @@ def history_parts(
     if hot is None:
         parts = [(_plain(df, mode), None)]
     else:
-        many = df.join(hot, "user_id", "left_semi")
+        many = written(df.join(hot, "user_id", "left_semi"), "hot-users")
         timed, timeless = many.filter(F.col("event_us").isNotNull()), many.filter(F.col("event_us").isNull())
         if slice_seconds is not None and _crowded(timed, slice_seconds, max(hot_rows, 1)):
             slice_seconds = None
