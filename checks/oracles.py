@@ -660,6 +660,12 @@ placed AS (SELECT *, row_number() OVER (ORDER BY us NULLS LAST, event_id) AS rn,
         "SELECT a.event_id, coalesce(a.us <= (SELECT max(b.us) FROM arr b WHERE b.batch < 3) // 1000 * 1000 - 600000000, FALSE) AND a.batch = 3 AS late FROM arr a",
         "\narr AS MATERIALIZED (SELECT event_id, us, CASE WHEN k % 10 = 0 THEN 3 ELSE CAST(floor(event_id * 4 / (max(event_id) OVER () + 1)) AS INT) END AS batch FROM net_events)",
     )
+    o["s4_intake"] = q(
+        "SELECT place, count(*) AS n FROM (SELECT CASE WHEN k % 20 = 7 THEN 'poison' WHEN k % 20 = 3 THEN 'blank' WHEN k % 20 = 5 THEN 'timeless' "
+        "WHEN batch = 3 AND us <= (SELECT max(b.us) FROM arr b WHERE b.batch < 3 AND k % 20 NOT IN (3, 5, 7)) // 1000 * 1000 - 600000000 "
+        "THEN 'late' ELSE 'scored' END AS place FROM arr) GROUP BY 1",
+        "\narr AS MATERIALIZED (SELECT event_id, us, k, CASE WHEN k % 10 = 0 THEN 3 ELSE CAST(floor(event_id * 4 / (max(event_id) OVER () + 1)) AS INT) END AS batch FROM net_events)",
+    )
     o["s5_bridge_stream"] = q("SELECT DISTINCT source_ip AS _es_id FROM net_events")
     o["s6_incremental_metrics"] = q(metrics)
     o["s7_fan_out"] = q("SELECT 'events' AS channel, count(*) AS n FROM pred UNION ALL SELECT 'alerts', count(*) FROM pred WHERE is_threat")

@@ -1,5 +1,7 @@
 """Streaming operators, run over the whole events table in several micro-batches, read back as tables."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from checks import inputs as I
@@ -131,6 +133,26 @@ def s4_late_rows(spark, d):
     )
 
 
+@query
+def s4_intake(spark, d):
+    """Unreadable, blank, timeless and late messages each in a side table, the others scored: nothing is lost."""
+    table = I.events(spark, d)
+    folder = fresh_path(spark, "intake")
+    arrival = F.when(F.col("k") % 10 == 0, SLICES - 1).otherwise(slice_of(table))
+    fields = F.struct(
+        "event_id", F.when(F.col("k") % 20 != 5, F.col("timestamp")).alias("timestamp"),
+        F.when(F.col("k") % 20 != 3, F.col("user_id")).otherwise(" ").alias("user_id"), "source_ip", "action", "success")
+    message = F.to_json(fields, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    value = F.when(F.col("k") % 20 == 7, F.left(message, F.lit(25))).otherwise(message)
+    parts = [table.filter(arrival == i).select(value.alias("value")) for i in range(SLICES)]
+    replay(spark, parts, streams.parse_events, jobs.intake_sink(folder, 600))
+    taken = spark.read.parquet(f"{folder}/events")
+    history = state.serving_history(spark.readStream.schema(taken.drop("batch_id").schema).parquet(f"{folder}/events/*"))
+    counts = [spark.read.parquet(finish(spark, history)).agg(F.lit("scored").alias("place"), F.count("*").alias("n"))]
+    counts += [spark.read.parquet(f"{folder}/{name}").agg(F.lit(name).alias("place"), F.count("*").alias("n")) for name in jobs.SIDE_TABLES]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def s5_bridge_stream(spark, d):
     return spark.read.parquet(replay(spark, sliced(repeated_docs(spark, d)), bridge.bridge_stream)).select("_es_id")

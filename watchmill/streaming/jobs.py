@@ -7,10 +7,11 @@ failure, it replaces what it wrote before.
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from watchmill.operators import report
+from watchmill.operators.projection import blank_users, named_users
 from watchmill.sources import sinks
 from watchmill.sources.streams import good_messages, poison_messages
 
@@ -91,23 +92,56 @@ def late_sink(on_time_path: str, late_path: str, delay_seconds: int) -> Sink:
     """Split a stream before a stateful job would drop late rows without a word.
 
     Late is what lies more than the delay before the newest event of the batches before, which is also what
-    Spark's watermark means. That newest time is kept in one small file per batch.
+    Spark's watermark means. A row without a time can wait for no watermark and goes to the late ones, in every batch.
     """
     seen = f"{late_path}-newest"
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        border = None
-        if batch_id > 0:
-            before = spark.read.parquet(seen).filter(F.col("batch_id") < batch_id)
-            newest = before.agg(F.max("newest")).first()[0]
-            border = None if newest is None else newest // 1000 * 1000 - delay_seconds * 1_000_000
-        late = F.lit(False) if border is None else F.unix_micros("timestamp") <= border
         df.persist()
         try:
-            write_batch(df.filter(~F.coalesce(late, F.lit(True))), on_time_path, batch_id)
-            write_batch(df.filter(F.coalesce(late, F.lit(True))), late_path, batch_id)
-            write_batch(df.agg(F.max(F.unix_micros("timestamp")).alias("newest")), seen, batch_id)
+            late = _is_late(df, seen, batch_id, delay_seconds)
+            write_batch(df.filter(~late), on_time_path, batch_id)
+            write_batch(df.filter(late), late_path, batch_id)
+        finally:
+            df.unpersist()
+
+    return sink
+
+
+def _is_late(df: DataFrame, seen: str, batch_id: int, delay_seconds: int) -> Column:
+    """Whether a row has no time or one behind the watermark; keeps the newest time so far, a row per batch, of which
+    only the last is read."""
+    spark, newest = df.sparkSession, None
+    if batch_id > 0:
+        newest = spark.read.parquet(f"{seen}/batch_id={batch_id - 1}").first()["newest"]
+    upto = F.greatest(F.max(F.unix_micros("timestamp")), F.lit(newest).cast("long"))
+    write_batch(df.agg(upto.alias("newest")), seen, batch_id)
+    border = None if newest is None else newest // 1000 * 1000 - delay_seconds * 1_000_000
+    late = F.lit(False) if border is None else F.unix_micros("timestamp") <= border
+    return F.col("timestamp").isNull() | F.coalesce(late, F.lit(False))
+
+
+SIDE_TABLES = ("poison", "blank", "timeless", "late")
+
+
+def intake_sink(folder: str, delay_seconds: int) -> Sink:
+    """What comes before a stateful job: of parsed messages (``parse_events``) only those go to ``events`` that
+    it can take; the others go to a side table each, so that every message is in one table.
+
+    The scoring job (``predict_stream``) follows the folder ``events``.
+    """
+    def sink(df: DataFrame, batch_id: int) -> None:
+        df.persist()
+        try:
+            write_batch(poison_messages(df), f"{folder}/poison", batch_id)
+            good = good_messages(df)
+            write_batch(blank_users(good), f"{folder}/blank", batch_id)
+            named = named_users(good)
+            write_batch(named.filter(F.col("timestamp").isNull()), f"{folder}/timeless", batch_id)
+            timed = named.filter(F.col("timestamp").isNotNull())
+            late = _is_late(timed, f"{folder}/newest", batch_id, delay_seconds)
+            write_batch(timed.filter(late), f"{folder}/late", batch_id)
+            write_batch(timed.filter(~late), f"{folder}/events", batch_id)
         finally:
             df.unpersist()
 
