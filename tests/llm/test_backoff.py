@@ -55,3 +55,10 @@ def test_odd_rows(odd_docs, no_docs):
     assert len(got) == odd_docs.count() and all((r.mean_score is None) == (r.n_words == 0) for r in got)
     assert sorted((str(r.doc_id), r.n_words) for r in got) == sorted((str(r.doc_id), len((r.text or "").split())) for r in odd_docs.collect())
     assert backoff.scores(no_docs).collect() == []
+
+
+def test_counts_beyond_32_bits():
+    import numpy as np
+
+    for values in ([], [0, 1, 7], [3, 1 << 40, (1 << 32) - 1]):
+        assert backoff._unpacked(backoff._small(np.array(values, np.int64))).tolist() == values

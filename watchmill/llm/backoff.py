@@ -14,12 +14,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from watchmill.llm.common import pieces, text_bytes
-from watchmill.session import written
+from watchmill.llm.common import pieces, text_bytes, word_count
 
 ORDER = 2
 ALPHA = 0.4
-CHUNK_WORDS = 250_000
+CHUNK_WORDS = 500_000
 PART_BYTES = 4 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -36,6 +35,18 @@ def _planes(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
 
 
+def _small(values: np.ndarray) -> bytes:
+    """Planes of numbers, of 32 bits if they fit, compressed to about their entropy; width and number come before."""
+    kind = np.uint32 if not len(values) or values.max() < 1 << 32 else np.uint64
+    data = _planes(values.astype(kind))
+    return bytes([np.dtype(kind).itemsize]) + len(values).to_bytes(8, "little") + (pa.compress(data, codec="zstd", asbytes=True) if data else b"")
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    width, n = data[0], int.from_bytes(data[1:9], "little")
+    return _values(pa.decompress(data[9:], n * width, codec="zstd", asbytes=True) if n else b"", np.uint32 if width == 4 else np.uint64).astype(np.int64)
+
+
 def _values(data: bytes, kind) -> np.ndarray:
     width = np.dtype(kind).itemsize
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, len(data) // width).T).view(kind).ravel()
@@ -74,11 +85,11 @@ class Chunk:
 
     def to_row(self) -> dict:
         keys, index = np.unique(self.words, return_inverse=True)
-        return {"docs": self.doc_ids, "lengths": self.lengths, "keys": keys.tobytes(), "index": _planes(index.astype(np.uint32)), "n_words": len(self.words)}
+        return {"docs": self.doc_ids, "lengths": self.lengths, "keys": _planes(np.diff(keys, prepend=np.uint64(0))), "index": _small(index), "n_words": len(self.words)}
 
     @classmethod
     def from_row(cls, docs, lengths, keys, index) -> "Chunk":
-        return cls(docs, np.frombuffer(keys, np.uint64)[_values(index, np.uint32)], np.asarray(lengths, np.int64))
+        return cls(docs, np.cumsum(_values(keys, np.uint64), dtype=np.uint64)[_unpacked(index)], np.asarray(lengths, np.int64))
 
 
 def _chunks(batches):
@@ -152,7 +163,7 @@ def _answer(table: pa.Table) -> pa.Table:
     sums = np.bincount(index, np.concatenate(counts)).astype(np.int64)
     ends = np.cumsum([len(k) for k in keys])
     totals = [sums[index[e - len(k) : e]] for k, e in zip(keys, ends)]
-    return pa.table({"chunk": table.column("chunk"), "n": table.column("n"), "part": table.column("part"), "totals": pa.array([_planes(t) for t in totals], pa.binary())})
+    return pa.table({"chunk": table.column("chunk"), "n": table.column("n"), "part": table.column("part"), "totals": pa.array([_small(t) for t in totals], pa.binary())})
 
 
 def _scores(chunk: Chunk, totals: dict[int, np.ndarray], all_words: int, order: int, alpha: float):
@@ -186,7 +197,7 @@ def _score(order: int, alpha: float, all_words: int):
             for _, chunk in _read(row):
                 found = answers.sort_by([("n", "ascending"), ("part", "ascending")])
                 numbers, blobs = found.column("n").to_pylist(), found.column("totals").to_pylist()
-                totals = {n: np.concatenate([np.zeros(0, np.int64), *(_values(b, np.int64) for m, b in zip(numbers, blobs) if m == n)]) for n in range(1, order + 1)}
+                totals = {n: np.concatenate([np.zeros(0, np.int64), *(_unpacked(b) for m, b in zip(numbers, blobs) if m == n)]) for n in range(1, order + 1)}
                 for column, values in zip(out, (chunk.doc_ids, chunk.lengths, *_scores(chunk, totals, all_words, order, alpha))):
                     column.extend(values)
         return pa.table({
@@ -206,8 +217,9 @@ def scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA) -> DataFra
     """
     bits = (pieces(text_bytes(docs), PART_BYTES) - 1).bit_length()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chunks = written(rows.mapInArrow(_chunks, CHUNK), "chunks")
-    all_words = chunks.agg(F.sum("n_words")).first()[0] or 0
+    all_words = docs.agg(F.sum(word_count("text"))).first()[0] or 0
+    # chunks are dealt out once; requests are made of them where they lie, and answers come to them
+    chunks = rows.mapInArrow(_chunks, CHUNK).repartition(pieces(all_words, CHUNK_WORDS * 4), "chunk")
     requests = chunks.mapInArrow(_requests(order, bits), "part long, n long, chunk long, keys binary, counts binary")
     answers = requests.groupBy("part", "n").applyInArrow(_answer, "chunk long, n long, part long, totals binary")
     scored = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(

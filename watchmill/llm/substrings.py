@@ -282,10 +282,11 @@ def repeated_bytes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     rows = rows.withColumn("th", F.when(F.col("doc_id").isNull(), F.hash("bytes")).otherwise(repeats)).withColumn(
         "dk", F.coalesce("doc_id", F.lit(-(1 << 63))))
     found = rows.select("dk", "th", "bytes").mapInArrow(_anchors, ANCHOR)
-    buckets = found.groupBy("gram").count().filter("count > 1").select("gram")
+    # written apart, so that the joins read plain shuffles, of which Spark can split the large partitions
+    buckets = written(found.groupBy("gram").count().filter("count > 1").select("gram"), "grams")
     kept = written(found.join(buckets, "gram"), "anchors")
     place = F.struct("dk", "th", "pos")
-    kinds = kept.groupBy("gram", "reach").agg(F.count("*").alias("n"), F.min(place).alias("partner"))
+    kinds = written(kept.groupBy("gram", "reach").agg(F.count("*").alias("n"), F.min(place).alias("partner")), "reaches")
     sorted_out = written(kept.join(kinds, ["gram", "reach"]), "kinds")
     settled = sorted_out.filter("n > 1").select("dk", "th", (F.col("pos") - REACH).alias("start"), (F.col("pos") + LENGTH).alias("stop"))
     sides = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("late").alias("core")), F.struct(F.lit(1).alias("side"), F.col("early").alias("core"))))
