@@ -55,3 +55,18 @@ def test_odd_rows(odd_docs, no_docs):
     assert [r.n_removed for r in got if r.doc_id in (1, 2)] == [0, 1, 1]
     assert [r.kept for r in got if r.doc_id in (3, 4)] == ["", ""]
     assert len(got) == odd_docs.count() and lines.dedup(no_docs).collect() == []
+
+
+def test_passage_in_the_middle_of_sentences(spark):
+    passage = words(120, 77)
+    rows = [(i, f"{words(40 + i, i)} {passage} {words(30 + i, 50 + i)}.") for i in range(4)]
+    got = result(spark, rows)
+    assert got[0].n_removed == 0
+    for i in (1, 2, 3):
+        gone = " ".join(rows[i][1][s.start : s.stop] for s in got[i].spans).split()
+        assert len(gone) > 80 and set(gone) <= set(passage.split())
+
+
+def test_many_units_take_linear_time():
+    text = "a. " * 200_000
+    assert lines.removed_spans(text, {0}) == (200_000, 1, [(0, 2)])

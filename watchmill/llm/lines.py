@@ -1,26 +1,42 @@
 """Operator 10: drop lines that occurred before, anywhere in the corpus.
 
 A unit is a line, or a sentence of it: the text between line breaks and after ``.``, ``!`` or ``?`` with white space.
-Units of at least LEAST_WORDS words are normalised and hashed to 128 bits. Of each digest the earliest place, by doc_id
+A sentence of over
+LONG_WORDS words is cut between words whose common hash says so, wherever they stand: a passage set into the middle of
+other sentences has the same cuts there. Units of at least LEAST_WORDS words are normalised and hashed to 128 bits. Of each digest the earliest place, by doc_id
 and then offset, stays; the others are removed. A shorter unit is too common to compare; it goes with its neighbours if
 both go. Only digests and places are shuffled, combined before; one digest's places can be any number.
 """
 
 import hashlib
 import re
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 LEAST_WORDS = 5
+# a sentence of more words is cut into clauses of about CLAUSE_WORDS
+LONG_WORDS, CLAUSE_WORDS = 24, 10
 UNIT = re.compile(r"[^\n]*?[.!?]+(?=\s)|[^\n]+")
 WORDS = re.compile(r"[^\W_]+")
 PLACES = pa.schema([("doc_id", pa.int64()), ("th", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("at", pa.int32())])
 
 
+def _clauses(text: str, start: int, end: int):
+    words = list(WORDS.finditer(text, start, end))
+    if len(words) > LONG_WORDS:
+        names = [w.group().lower().encode("utf-8", "surrogatepass") for w in words]
+        for i in range(1, len(words)):
+            if zlib.crc32(names[i], zlib.crc32(names[i - 1])) % CLAUSE_WORDS == 0:
+                yield start, words[i].start()
+                start = words[i].start()
+    yield start, end
+
+
 def units(text: str) -> list[tuple[int, int]]:
-    """Start and end of each unit that holds a word, in characters."""
-    return [(m.start(), m.end()) for m in UNIT.finditer(text) if not m.group().isspace()]
+    """Start and end of each unit, in characters."""
+    return [u for m in UNIT.finditer(text) if not m.group().isspace() for u in _clauses(text, m.start(), m.end())]
 
 
 def digest(unit: str, least: int = LEAST_WORDS) -> tuple[int, int] | None:
@@ -55,10 +71,12 @@ def removed_spans(text: str, starts: set[int], least: int = LEAST_WORDS) -> tupl
     """Number of units, number removed and the removed spans, joined where only white space lies between."""
     found = units(text)
     state = [1 if s in starts else None if digest(text[s:e], least) is None else 0 for s, e in found]
-    for i, s in enumerate(state):
-        if s is None:
-            before = next((x for x in reversed(state[:i]) if x is not None), 0) if i else 0
-            state[i] = 2 if before and next((x for x in state[i + 1 :] if x is not None), 0) == 1 else 0
+    ahead, behind = [0] * len(state), [0] * len(state)
+    for marks, order in ((behind, range(len(state))), (ahead, reversed(range(len(state))))):
+        last = 0
+        for i in order:
+            last = marks[i] = last if state[i] is None else state[i]
+    state = [s if s is not None else ahead[i] and behind[i] for i, s in enumerate(state)]
     spans: list[tuple[int, int]] = []
     for (start, end), s in zip(found, state):
         if s and spans and not text[spans[-1][1] : start].strip():
