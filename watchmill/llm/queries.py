@@ -2,12 +2,17 @@
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from watchmill.llm import backoff, decontamination, embeddings, language, lines, mixing, simhash, substrings, token_files, url_filter
 from watchmill.llm.common import table
-from watchmill.session import prepare
+
+def word_tokenizer() -> str:
+    """Where the tokenizer file lies on this machine; the operators take its path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,7 +30,7 @@ def op1_mix(spark, d):
 
 @query
 def op2_token_files(spark, d):
-    return token_files.token_files(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.token_files(table(spark, d, "documents"), word_tokenizer())
 
 @query
 def op3_urls(spark, d):
