@@ -2,11 +2,12 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from watchmill.llm import backoff, decontamination, embeddings, language, lines, mixing, simhash, substrings, token_files, url_filter
 from watchmill.llm.common import table
 
+
 def word_tokenizer() -> str:
     """Where the tokenizer file lies on this machine; the operators take its path."""
     import public_tokenizers
@@ -55,7 +56,8 @@ def op7_embeddings(spark, d):
 
 @query
 def op4_backoff(spark, d):
-    return backoff.scores(table(spark, d, "documents"))
+    rows = backoff.scores(table(spark, d, "documents"))
+    return rows.select("doc_id", "n_words", "n_single", "n_unknown", F.round("log_score", 4).alias("log_score"))
 
 
 @query
@@ -73,4 +75,32 @@ def op6_substrings(spark, d):
     return substrings.repeated_bytes(table(spark, d, "documents")).drop("spans")
 
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_backoff": """
+WITH docs AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \\t-\\r]+'), lambda w: w <> '') AS ws FROM documents),
+words AS (SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM docs),
+pairs AS (SELECT doc_id, i, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM words),
+own1 AS (SELECT doc_id, w, count(*) AS c FROM words GROUP BY ALL), all1 AS (SELECT w, sum(c) AS c FROM own1 GROUP BY ALL),
+own2 AS (SELECT doc_id, before, w, count(*) AS c FROM pairs WHERE before IS NOT NULL GROUP BY ALL),
+all2 AS (SELECT before, w, sum(c) AS c FROM own2 GROUP BY ALL),
+per AS (SELECT doc_id, len(ws) AS n FROM docs),
+seen AS (SELECT p.doc_id, all1.c - own1.c AS c1, b.c - ob.c AS c0, coalesce(all2.c - own2.c, 0) AS c2,
+  greatest(1, (SELECT sum(n) FROM per) - per.n) AS rest
+ FROM pairs p JOIN per USING (doc_id) JOIN all1 ON all1.w = p.w JOIN own1 ON own1.doc_id = p.doc_id AND own1.w = p.w
+ LEFT JOIN all1 b ON b.w = p.before LEFT JOIN own1 ob ON ob.doc_id = p.doc_id AND ob.w = p.before
+ LEFT JOIN all2 ON all2.before = p.before AND all2.w = p.w LEFT JOIN own2 ON own2.doc_id = p.doc_id AND own2.before = p.before AND own2.w = p.w),
+scored AS (SELECT doc_id, c2 > 0 AND c0 > 0 AS pair, c1 = 0 AS unknown,
+  CASE WHEN c2 > 0 AND c0 > 0 THEN ln(c2 / c0) ELSE ln(greatest(c1, 1) / rest) + ln(0.4) END AS s FROM seen)
+SELECT doc_id, n AS n_words, coalesce(n_single, 0) AS n_single, coalesce(n_unknown, 0) AS n_unknown, coalesce(round(s, 4), 0) AS log_score
+FROM per LEFT JOIN (SELECT doc_id, CAST(sum(CAST(NOT pair AS INT)) AS BIGINT) AS n_single, CAST(sum(CAST(unknown AS INT)) AS BIGINT) AS n_unknown,
+  sum(s) AS s FROM scored GROUP BY 1) USING (doc_id)
+""",
+    "op7_embeddings": """
+WITH RECURSIVE vectors AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM vectors UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM least
+""",
+}
