@@ -550,6 +550,17 @@ def oracle_sql() -> dict[str, str]:
         "SELECT event_id, CASE WHEN threat_score > 0.9 THEN 'critical' ELSE 'high' END AS severity, CASE WHEN anomaly_type = 'None' THEN 'BLOCK' ELSE anomaly_type END AS label, "
         "user_id AS user_name, source_ip, " + pct("threat_score") + " AS score_pct FROM (SELECT * FROM pred WHERE is_threat ORDER BY us DESC, event_id DESC LIMIT 20)"
     )
+    o["g7_feed_kept"] = o["g7_threat_feed"].replace("LIMIT 20", "LIMIT 30")
+    o["g8_globe_points"] = q(
+        "SELECT NULL AS event_id, 12.97e0 AS lat, 77.59e0 AS lng, FALSE AS is_threat, TRUE AS is_server UNION ALL "
+        "SELECT event_id, coalesce(src_lat, 0), coalesce(src_lng, 0), is_threat, FALSE FROM "
+        f"(SELECT e.*, {SRC_GEO}, {DST_GEO} FROM (SELECT * FROM pred ORDER BY us DESC, event_id DESC LIMIT 99) e {GEO_JOIN})")
+    o["g8_log_rows"] = q(
+        "SELECT event_id, threat_action, user_id AS user_name, source_ip, " + pct("threat_score")
+        + " AS score_pct FROM (SELECT * FROM pred ORDER BY us DESC, event_id DESC LIMIT 50)")
+    o["f9_no_bundle"] = q(
+        "SELECT event_id, FALSE AS is_threat, 0.0e0 AS threat_score, 0.5e0 AS threshold, 'ALLOW' AS threat_action, 'skipped' AS rotation_status, "
+        "CAST(1 AS INT) AS n_workflows FROM net_events")
     o["g8_newest_arcs"] = q("SELECT event_id, is_threat, threat_score FROM pred ORDER BY us DESC, event_id DESC LIMIT 80")
     o["g9_sorted"] = q("SELECT event_id, user_id, us AS event_us FROM net_events")
     o["g10_batches"] = q("SELECT workspace_id, count(*) AS events, count(*) <= 100 AS accepted FROM net_events GROUP BY 1")

@@ -602,6 +602,9 @@ add("g5_search_users", lambda spark, d: lists.search_users(user_ledger(spark, d)
 add("g6_latest_rotated", lambda spark, d: credentials.latest_rotated(user_ledger(spark, d)).select("user_id", "role", "rotation_count", "last_rotation_reason", "created_us"))
 add("g7_threat_feed", lambda spark, d: report.threat_feed(sinks.threat_rows(I.decided(spark, d))).withColumnRenamed("user", "user_name"))
 add("g8_newest_arcs", lambda spark, d: report.newest(report.geo_arcs(I.predictions(spark, d)), "timestamp", V.ARCS_KEPT).select("event_id", "is_threat", "threat_score"))
+add("g7_feed_kept", lambda spark, d: report.threat_feed(sinks.threat_rows(I.decided(spark, d)), V.FEED_KEPT).withColumnRenamed("user", "user_name"))
+add("g8_globe_points", lambda spark, d: report.globe_points(I.predictions(spark, d)))
+add("g8_log_rows", lambda spark, d: report.log_rows(I.predictions(spark, d)).withColumnRenamed("user", "user_name"))
 add("g9_sorted", lambda spark, d: lists.by_user_and_time(I.events(spark, d)).select("event_id", "user_id", F.unix_micros("timestamp").alias("event_us")))
 add("g10_batches", lambda spark, d: lists.batch_admission(I.events(spark, d), "workspace_id"))
 add("g11_high_severity", lambda spark, d: lists.high_severity(I.decided(spark, d)).select("event_id", "threat_action", "threat_score"))

@@ -186,6 +186,31 @@ def geo_arcs(pred: DataFrame) -> DataFrame:
     )
 
 
+def globe_points(pred: DataFrame, kept: int = V.POINTS_KEPT) -> DataFrame:
+    """The server's point and the newest source points, ``kept`` in all."""
+    points = newest(pred, "timestamp", kept - 1).select(
+        "event_id",
+        F.coalesce("source_geo.lat", F.lit(0.0)).alias("lat"),
+        F.coalesce("source_geo.lng", F.lit(0.0)).alias("lng"),
+        "is_threat",
+        F.lit(False).alias("is_server"),
+    )
+    server = pred.sparkSession.range(1).select(
+        F.lit(None).cast(pred.schema["event_id"].dataType).alias("event_id"), F.lit(V.SERVER_GEO[0]).alias("lat"),
+        F.lit(V.SERVER_GEO[1]).alias("lng"), F.lit(False).alias("is_threat"), F.lit(True).alias("is_server"),
+    )
+    return server.unionByName(points)
+
+
+def log_rows(pred: DataFrame, kept: int = V.LOG_KEPT) -> DataFrame:
+    """The newest lines of the live log."""
+    return newest(pred, "timestamp", kept).select(
+        "event_id", "threat_action", F.coalesce(F.nullif(F.col("event_summary.user"), F.lit("")), F.lit("unknown")).alias("user"),
+        F.coalesce(F.nullif(F.col("event_summary.source_ip"), F.lit("")), F.lit("--")).alias("source_ip"),
+        score_pct(F.col("threat_score")).alias("score_pct"),
+    )
+
+
 def threat_feed(threats: DataFrame, shown: int = V.RECENT_THREATS) -> DataFrame:
     """Newest threats with severity and label."""
     plain = F.coalesce(F.col("attack_type"), F.lit("")).isin("", "None")

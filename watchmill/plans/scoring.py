@@ -18,6 +18,7 @@ def without_model(events: DataFrame) -> DataFrame:
         "threshold": F.lit(V.DEFAULT_THRESHOLD),
         "is_threat": F.lit(False),
         "threat_action": D.determine_action(F.lit(0.0)),
+        "workflows": D.workflows(F.lit(False), F.lit(0.0)),
     })
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from watchmill import schema as S
-from watchmill.operators.features import attach_profile, finish_features
+from watchmill.operators.features import attach_profile, finish_features, zero_on_error
 from watchmill.operators.projection import named_users, to_network_event
 from watchmill.plans.scoring import decide, respond
 from watchmill.plans.training import Bundle, member_scores
@@ -24,7 +24,7 @@ def predict_stream(
 ) -> DataFrame:
     """The batch job's features and decisions on a stream; one exchange, on the user, into the keyed state."""
     rows = serving_history(events) if mode == "serving" else exact_history(events, delay)
-    rows = finish_features(attach_profile(rows, profiles), bundle.codes, mode)
+    rows = zero_on_error(finish_features(attach_profile(rows, profiles), bundle.codes, mode))
     numbers = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in S.FEATURE_COLUMNS}
     scored = member_scores(rows.withColumns(numbers), bundle.members)
     return respond(decide(scored, bundle.threshold, bundle.weights))
