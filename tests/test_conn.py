@@ -148,3 +148,10 @@ def test_batch_limit(spark):
         check_batch(spark.range(101))
     sizes = batch_admission(spark.range(201).select((F.col("id") > 99).alias("b")), "b").collect()
     assert {r["b"]: r["accepted"] for r in sizes} == {False: True, True: False}
+
+
+def test_csv_columns_by_name(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("role,unknown,user_id,is_shift_worker,base_login_hour\nAdmin,x,USR-1,true,8.5\nHR,y,USR-2,maybe,\n")
+    rows = files.read_profiles(spark, str(tmp_path / "p.csv")).orderBy("user_id").collect()
+    assert [(r["user_id"], r["role"], r["is_shift_worker"], r["base_login_hour"], r["home_region"]) for r in rows] == [
+        ("USR-1", "Admin", True, 8.5, None), ("USR-2", "HR", None, None, None)]

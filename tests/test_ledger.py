@@ -100,3 +100,9 @@ def test_offsets_of_a_running_query():
         {"topic": "t", "partition": 1, "earliest": 0, "latest": 3, "committed": 3},
     ]
     assert offsets_of(SimpleNamespace(lastProgress=None)) == []
+
+
+def test_one_of_equal_decisions_succeeds(spark, alerts):
+    twice = [("A1", "d1", "approve", 5, ""), ("A1", "d2", "approve", 5, "")]
+    rows = spark.createDataFrame(twice, "alert_id string, decision_id string, decision string, at_us long, admin_notes string")
+    assert {r["decision_id"]: r["success"] for r in ledger.decision_answers(alerts, rows).collect()} == {"d1": True, "d2": False}

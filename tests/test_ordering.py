@@ -76,3 +76,23 @@ def test_no_scores_and_no_positives(spark):
     cells = evaluate.confusion(calm, F.col("s") >= 0.3, "y")
     assert tuple(evaluate.quality(cells).first()) == (0.5, 0.0, 0.0, 0.0)
     assert {r["class"]: r["support"] for r in evaluate.class_report(cells).collect()}["Threat"] == 0
+
+
+@pytest.mark.parametrize("method", ["time", "user"])
+@pytest.mark.parametrize("ratio", [0.0, 0.5, 0.8, 1.0])
+def test_split_keeps_rows_without_a_time(spark, method, ratio):
+    rows = [(f"e{i:03}", None if i % 5 == 0 else i // 3, None if i % 11 == 0 else f"u{i % 4}") for i in range(100)]
+    df = spark.createDataFrame(rows, "event_id string, event_us long, user_id string")
+    first, second = ([r["event_id"] for r in part.collect()] for part in ordering.split(df, ratio, method))
+    assert sorted(first + second) == [r[0] for r in rows]
+    late = {r[0] for r in rows if (r[1] is None and method == "time") or (r[2] is None and method == "user")}
+    assert late <= set(second) and len(first) <= int(100 * ratio)
+    if ratio <= 0.8 and method == "time":
+        assert len(first) == int(100 * ratio)
+
+
+def test_roc_auc_of_very_many_rows(spark):
+    """Products of 10 and 100 thousand million pass the range of bigint."""
+    hist = spark.createDataFrame([("a", 0.2, 0, 10**11), ("a", 0.7, 10**10, 10**11), ("b", 0.5, 10**10, 2 * 10**11)], "model string, score double, pos long, neg long")
+    got = {r["model"]: r["roc_auc"] for r in evaluate.histogram_auc(hist, ["a", "b"]).collect()}
+    assert got["a"] == pytest.approx(0.75) and got["b"] == pytest.approx(0.5)

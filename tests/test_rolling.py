@@ -127,3 +127,11 @@ def test_rows_without_a_time_are_kept_without_history(spark, mode, hot_rows):
     rows = [(1, START, "u", "1.1.1.1", "read", True), (2, None, "u", "1.1.1.2", "read", True), (3, START, "u", "1.1.1.1", "read", True)]
     got = {r["event_id"]: (r["events_1h"], r["prev_ip"], r["ip_changed"]) for r in rolling.with_history(frame(spark, rows), mode, hot_rows).collect()}
     assert got == {1: (1, None, 0), 2: (None, None, None), 3: (2, "1.1.1.1", 0)}
+
+
+@pytest.mark.parametrize("mode", ["exact", "serving"])
+def test_hot_users_read_the_source_once_more(spark, tmp_path, mode):
+    frame(spark, random_rows(80, 6)).drop("event_us", "is_admin_action", "failed_action", "event_flag").write.parquet(str(tmp_path / "source"))
+    rows = rolling.event_inputs(spark.read.parquet(str(tmp_path / "source")))
+    physical = rolling.with_history(rows, mode, 1)._jdf.queryExecution().executedPlan().toString()
+    assert sum(f"{tmp_path.name}/source" in line for line in physical.splitlines() if "FileScan" in line) == 1

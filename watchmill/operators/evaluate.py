@@ -100,6 +100,11 @@ def roc_auc(df: DataFrame, members: list[str], label: str) -> DataFrame:
     hist = rows.groupBy("model", F.round("score", 6).alias("score")).agg(
         F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")
     )
+    return histogram_auc(hist, members)
+
+
+def histogram_auc(hist: DataFrame, members: list[str]) -> DataFrame:
+    """The same from counts ``pos`` and ``neg`` per ``model`` and ``score``."""
     rank = reduce(lambda c, im: c.when(F.col("model") == im[1], im[0]), enumerate(members), F)
     hist = hist.withColumn("bucket", rank * 1001 + F.floor(F.col("score") * 1000))
     hist = bucketed_totals(hist, "bucket", [F.col("score").asc()], ["pos", "neg"])
