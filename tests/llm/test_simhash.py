@@ -97,3 +97,11 @@ def test_components_of_long_paths_and_hubs(spark):
 
 def test_empty(no_docs):
     assert simhash.near_duplicates(no_docs).collect() == [] and simhash.one_of_each(no_docs).collect() == []
+
+
+def test_rows_without_or_with_one_doc_id(spark):
+    """Each group keeps one row, whatever the doc_ids are."""
+    a, b, c = words(50, 1), words(50, 2), words(50, 3)
+    rows = [(None, a), (None, a), (None, b), (7, b), (7, c), (7, c), (None, None)]
+    docs = spark.createDataFrame([(d, t, None, None, None) for d, t in rows], DOCS)
+    assert sorted(map(str, [(r.doc_id, r.text) for r in simhash.one_of_each(docs).collect()])) == sorted(map(str, [(None, a), (7, b), (7, c), (None, None)]))

@@ -46,13 +46,14 @@ def fingerprint(text: str | None, words_each: int = SHINGLE) -> int:
 def _fingerprints(batches):
     for batch in batches:
         values = np.array([fingerprint(t.as_py()) for t in batch.column("text")], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values)], names=["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(values)], names=["doc_id", "th", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp`` (a signed 64-bit number) for every row."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_fingerprints, "doc_id long, fp long")
+    """``doc_id, th`` (a hash of the text), ``fp`` (a signed 64-bit number) for every row."""
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    return rows.mapInArrow(_fingerprints, "doc_id long, th long, fp long")
 
 
 def links(different: DataFrame) -> DataFrame:
@@ -64,25 +65,35 @@ def links(different: DataFrame) -> DataFrame:
     return pairs.filter(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= 2).select("u", "v")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row of ``docs``.
-
-    Null and blank texts have fingerprint 0 and are linked like any other. Repeated rows share a component. A null
-    doc_id is kept and never the smallest; a component of nothing else has a null id. Empty table: no rows.
-    """
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``doc_id, th, fp, component`` (one of its fingerprints), ``component_id`` for every row."""
     rows = written(fingerprints(docs), "fingerprints")
     different = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "different")
     found = components(links(different.select("fp")))
     groups = different.join(found.withColumnRenamed("id", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     ids = groups.groupBy("component").agg(F.min("least").alias("component_id"))
     # the smallest doc_id of each component, back to its fingerprints, then to all documents
-    named = groups.select("fp", "component").join(ids, "component").select("fp", "component_id")
+    named = groups.select("fp", "component").join(ids, "component").select("fp", "component", "component_id")
+    return rows.join(named, "fp").select("doc_id", "th", "fp", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every row of ``docs``.
+
+    Null and blank texts have fingerprint 0 and are linked like any other. Repeated rows share a component. A null
+    doc_id is kept and never the smallest; a component of nothing else has a null id. Empty table: no rows.
+    """
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return rows.join(named, "fp").select("doc_id", text.alias("fingerprint"), "component_id")
+    return _grouped(docs).select("doc_id", text.alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row per group of near-duplicates, that with the smallest doc_id."""
-    kept = near_duplicates(docs).groupBy("component_id").agg(F.min("doc_id").alias("kept")).select("kept")
-    rows = packed(docs, id=F.col("doc_id").cast("long"))
-    return rows.join(kept, F.col("id").eqNullSafe(F.col("kept"))).dropDuplicates(["id"]).select("row.*")
+    """``docs`` with one row per group of near-duplicates: the smallest doc_id, of equal ones the text with the smallest hash.
+
+    Rows without a doc_id come last in their group.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "th"))
+    kept = _grouped(docs).groupBy("component").agg(first.alias("k")).select(F.col("k.doc_id").alias("kept"), F.col("k.th").alias("text_hash"))
+    rows = packed(docs, id=F.col("doc_id").cast("long"), th=F.xxhash64(F.col("text").cast("string")))
+    found = rows.join(kept, F.col("id").eqNullSafe(F.col("kept")) & (F.col("th") == F.col("text_hash")))
+    return found.dropDuplicates(["id", "th"]).select("row.*")
