@@ -18,19 +18,29 @@ from pyspark.sql import DataFrame, functions as F
 LEAST_WORDS = 5
 # a sentence of more words is cut into clauses of about CLAUSE_WORDS
 LONG_WORDS, CLAUSE_WORDS = 24, 10
+# hashes of words met before
+_CODES: dict[str, int] = {}
 UNIT = re.compile(r"[^\n]*?[.!?]+(?=\s)|[^\n]+")
 WORDS = re.compile(r"[^\W_]+")
 PLACES = pa.schema([("doc_id", pa.int64()), ("th", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("at", pa.int32())])
 
 
 def _clauses(text: str, start: int, end: int):
-    words = list(WORDS.finditer(text, start, end))
+    # that many words and the gaps between them need twice as many characters
+    words = WORDS.findall(text, start, end) if end - start > 2 * LONG_WORDS else ()
     if len(words) > LONG_WORDS:
-        names = [w.group().lower().encode("utf-8", "surrogatepass") for w in words]
-        for i in range(1, len(words)):
-            if zlib.crc32(names[i], zlib.crc32(names[i - 1])) % CLAUSE_WORDS == 0:
-                yield start, words[i].start()
-                start = words[i].start()
+        if len(_CODES) > 200_000:
+            _CODES.clear()
+        before, at = None, start
+        for word in words:
+            code = _CODES.get(word)
+            if code is None:
+                code = _CODES[word] = zlib.crc32(word.lower().encode("utf-8", "surrogatepass"))
+            at = text.index(word, at)
+            if before is not None and (before + 31 * code) % CLAUSE_WORDS == 0:
+                yield start, at
+                start = at
+            before, at = code, at + len(word)
     yield start, end
 
 
@@ -70,7 +80,7 @@ def _places(least: int):
 def removed_spans(text: str, starts: set[int], least: int = LEAST_WORDS) -> tuple[int, int, list[tuple[int, int]]]:
     """Number of units, number removed and the removed spans, joined where only white space lies between."""
     found = units(text)
-    state = [1 if s in starts else None if digest(text[s:e], least) is None else 0 for s, e in found]
+    state = [1 if s in starts else None if len(WORDS.findall(text[s:e].lower())) < least else 0 for s, e in found]
     ahead, behind = [0] * len(state), [0] * len(state)
     for marks, order in ((behind, range(len(state))), (ahead, reversed(range(len(state))))):
         last = 0
