@@ -62,3 +62,14 @@ def test_counts_beyond_32_bits():
 
     for values in ([], [0, 1, 7], [3, 1 << 40, (1 << 32) - 1]):
         assert backoff._unpacked(backoff._small(np.array(values, np.int64))).tolist() == values
+
+
+def test_a_registered_query_scores_trigrams(spark):
+    import __spark_entry__
+
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    got = sorted(map(tuple, __spark_entry__.queries()["op4_backoff_order3"](spark, folder).collect()), key=str)
+    want = brute(rows, 3)
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    assert [g[4] for g in got] == pytest.approx([w[4] for w in want], abs=1e-4)

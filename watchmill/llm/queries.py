@@ -60,6 +60,15 @@ def op4_backoff(spark, d):
     return rows.select("doc_id", "n_words", "n_single", "n_unknown", F.round("log_score", 4).alias("log_score"))
 
 
+def op4_backoff_order3(spark, d):
+    """The same with trigrams; beside QUERIES, since the SQL of op4_backoff says bigrams."""
+    rows = backoff.scores(table(spark, d, "documents"), 3)
+    return rows.select("doc_id", "n_words", "n_single", "n_unknown", F.round("log_score", 4).alias("log_score"))
+
+
+MORE: dict[str, Query] = {"op4_backoff_order3": op4_backoff_order3}
+
+
 @query
 def op10_lines(spark, d):
     return lines.dedup(table(spark, d, "documents")).drop("kept")
