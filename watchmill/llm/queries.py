@@ -4,8 +4,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from watchmill.llm import backoff, decontamination, embeddings, language, lines, mixing, simhash, substrings, token_files, url_filter
-from watchmill.llm.common import table
+from watchmill.llm import (
+    backoff, decontamination, embeddings, language, lines, merkle, mixing, periodic, simhash, substrings, token_files, url_filter,
+)
+from watchmill.llm.common import ascii_lower, table
 
 
 def word_tokenizer() -> str:
@@ -84,7 +86,74 @@ def op6_substrings(spark, d):
     return substrings.repeated_bytes(table(spark, d, "documents")).drop("spans")
 
 
+@query
+def op11_periodic(spark, d):
+    text = periodic.made_periodic(F.col("text"), F.col("doc_id"))
+    return periodic.digests(periodic.periodic_runs(table(spark, d, "documents"), text))
+
+
+@query
+def op12_merkle(spark, d):
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 0
+    claim = F.when(tampered, merkle.leaf(ascii_lower(F.col("text")))).otherwise(merkle.leaf())
+    rows = merkle.verified(table(spark, d, "documents"), claim)
+    return rows.withColumn("proof_sha256", F.sha2(F.array_join("proof", ""), 256)).drop("proof")
+
+
+# crc32 of a doc_id's digits, unsigned: eight steps of the reflected polynomial for each
+CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+ lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+  lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)), 4294967295)"""
+
 SQL: dict[str, str] = {
+    "op11_periodic": f"""
+WITH docs AS (SELECT doc_id, {CRC} AS h, list_filter(string_split_regex(coalesce(text, ''), '[ \\t-\\r]+'), lambda w: w <> '') AS ws FROM documents),
+cut AS (SELECT *, len(ws) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) ELSE len(ws) END AS a FROM docs),
+bent AS (SELECT doc_id, n, a, ws, 1 + (n - a) // (3 + g % 8) AS p FROM cut),
+words AS (SELECT doc_id, n, i, CASE WHEN i >= a THEN ws[a + (i - a) % p + 1] ELSE ws[i + 1] END AS w
+ FROM (SELECT *, unnest(range(n)) AS i FROM bent)),
+same AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.w = y.w AND x.i < y.i AND (y.i - x.i) * 4 <= x.n),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same),
+stretches AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS m FROM islands GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT doc_id, s, m, min(q) AS q FROM stretches GROUP BY ALL),
+listed AS (SELECT doc_id, count(*) AS n_runs, arg_min({{'s': s, 'm': m, 'q': q}}, {{'m': -m, 's': s, 'q': q}}) AS top,
+ sha256(string_agg(s || ',' || m || ',' || q || chr(10), '' ORDER BY s, q)) AS runs_sha256 FROM runs GROUP BY 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + m)) AS i FROM runs),
+left_over AS (SELECT doc_id, sha256(string_agg(w, ' ' ORDER BY i)) AS kept FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top.s AS start, top.m AS length, top.q AS period, top.m * 1000 // top.q AS exponent_milli,
+ coalesce(runs_sha256, sha256('')) AS runs_sha256, coalesce(kept, sha256('')) AS collapsed_sha256
+FROM docs LEFT JOIN listed USING (doc_id) LEFT JOIN left_over USING (doc_id)
+""",
+    "op12_merkle": f"""
+WITH RECURSIVE docs AS (SELECT doc_id, lang, text, {CRC} % 3 = 0 AS bad,
+  coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+  || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head FROM documents),
+leaves AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+  CASE WHEN bad THEN sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-'))
+  ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS shown FROM docs),
+langs AS (SELECT lang, count(*) AS n, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) OVER () AS trees FROM leaves GROUP BY lang),
+placed AS (SELECT doc_id, leaf, shown, tree, n, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS i
+  FROM leaves JOIN langs ON leaves.lang IS NOT DISTINCT FROM langs.lang),
+low AS (SELECT 0 AS level, tree, i, n, leaf AS d FROM placed
+  UNION ALL SELECT level + 1, tree, i // 8, (n + 7) // 8, sha256(string_agg(d, '' ORDER BY i)) FROM low WHERE n > 1 GROUP BY level, tree, i // 8, n),
+subroots AS (SELECT tree, d AS subroot, level AS height FROM low WHERE n = 1),
+high AS (SELECT 0 AS level, tree AS i, trees AS n, subroot AS d FROM subroots JOIN langs USING (tree)
+  UNION ALL SELECT level + 1, i // 8, (n + 7) // 8, sha256(string_agg(d, '' ORDER BY i)) FROM high WHERE n > 1 GROUP BY level, i // 8, n),
+steps AS (
+  SELECT p.doc_id, p.leaf, p.tree, p.i, low.level AS step, p.i // CAST(8 ** low.level AS BIGINT) AS own, low.i AS place, d FROM placed p JOIN low ON p.tree = low.tree
+   AND low.n > 1 AND low.i // 8 = p.i // CAST(8 ** (low.level + 1) AS BIGINT)
+  UNION ALL SELECT p.doc_id, p.leaf, p.tree, p.i, s.height + high.level, p.tree // CAST(8 ** high.level AS BIGINT), high.i, d FROM placed p JOIN subroots s USING (tree)
+   JOIN high ON high.n > 1 AND high.i // 8 = p.tree // CAST(8 ** (high.level + 1) AS BIGINT)),
+proofs AS (SELECT tree, i, sha256(coalesce(string_agg(d, '' ORDER BY step, place) FILTER (place <> own), '')) AS proof_sha256 FROM steps GROUP BY tree, i),
+runs AS (SELECT tree, i, step, coalesce(string_agg(d, '' ORDER BY place) FILTER (place < own), '') AS before,
+  coalesce(string_agg(d, '' ORDER BY place) FILTER (place > own), '') AS after FROM steps GROUP BY tree, i, step),
+folds AS (SELECT tree, i, 0 AS step, shown AS d FROM placed
+  UNION ALL SELECT f.tree, f.i, f.step + 1, sha256(before || d || after) FROM folds f JOIN runs USING (tree, i, step)),
+folded AS (SELECT tree, i, arg_max(d, step) AS folded_root FROM folds GROUP BY 1, 2),
+root AS (SELECT d AS root FROM high WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN subroots USING (tree) JOIN folded USING (tree, i) LEFT JOIN proofs USING (tree, i) CROSS JOIN root
+""",
     "op4_backoff": """
 WITH docs AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \\t-\\r]+'), lambda w: w <> '') AS ws FROM documents),
 words AS (SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM docs),
