@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from watchmill.llm import (
-    backoff, decontamination, embeddings, language, lines, merkle, mixing, periodic, simhash, substrings, token_files, url_filter,
+    backoff, decontamination, embeddings, language, lines, merkle, mixing, periodic, simhash, substrings, token_files, toxicity,
+    url_filter,
 )
 from watchmill.llm.common import ascii_lower, table
 
@@ -100,6 +101,12 @@ def op12_merkle(spark, d):
     return rows.withColumn("proof_sha256", F.sha2(F.array_join("proof", ""), 256)).drop("proof")
 
 
+@query
+def op13_toxicity(spark, d):
+    docs = table(spark, d, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, d, "labels")))
+
+
 # crc32 of a doc_id's digits, unsigned: eight steps of the reflected polynomial for each
 CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
  lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
