@@ -4,7 +4,7 @@ Each document is a leaf. Every language is a tree of runs of 8 over its leaves i
 languages are the leaves of one more tree. A tree is a log to which nodes are appended as they complete: a leaf, and
 after it every ancestor that it is the last leaf of. How many nodes come before a node then follows from the sizes of
 the full subtrees to its left, so its place in the log has a closed form: a leaf ``i`` has ``i // 8 + i // 64 + ...``
-ancestors' siblings before it. Builders of aligned blocks of 8**5 leaves therefore write disjoint, contiguous parts
+ancestors' siblings before it. Builders of aligned blocks of 8**4 leaves therefore write disjoint, contiguous parts
 of the log without knowing each other, the next tier does the same over the roots of the blocks, and a proof reads
 its siblings at addresses that are computed, not searched.
 """
@@ -20,8 +20,8 @@ from watchmill.session import written
 
 FAN_BITS = 3
 FAN = 1 << FAN_BITS
-# levels that one builder completes by itself: a block is 8**5 leaves and at most 37,449 nodes of the log
-TIER = 5
+# levels that one builder completes by itself: a block is 8**4 leaves and at most 4,681 nodes of the log
+TIER = 4
 # no tree of 64-bit ranks is higher
 LEVELS = 21
 # the tree over the roots of the languages, in the column of tree numbers
@@ -277,7 +277,7 @@ def proofs(made: Manifest) -> DataFrame:
     the root that its claim leads to with them.
 
     A block's path above itself is joined once per block, not per leaf; inside, siblings are read from the block's
-    part of the log by address. A task holds one block's nodes, at most 37,449.
+    part of the log by address. A task holds one block's nodes, at most 4,681.
     """
     tier = made.tier
     block = F.shiftright(F.col("rank"), FAN_BITS * tier)
