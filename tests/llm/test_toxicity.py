@@ -61,7 +61,7 @@ def corpus(n=400, seed=0):
 
 def test_ratios_equal_counts(spark):
     docs, labels = corpus(120)
-    rows = toxicity.labelled(spark.createDataFrame(docs, DOCS).repartition(4), spark.createDataFrame(labels, LABELS))
+    rows = toxicity.sample(spark.createDataFrame(docs, DOCS).repartition(4), spark.createDataFrame(labels, LABELS))
     ratio, clean, toxic = toxicity.ratios(rows)
     learned = [(d[1], t) for d, (i, t) in zip(docs, labels) if zlib.crc32(str(i).encode()) % 3 != 1]
     assert (clean, toxic) == (sum(t == 0 for _, t in learned), sum(t for _, t in learned))
@@ -131,13 +131,26 @@ def test_nothing_or_one_class_to_learn(spark, odd_docs, labels, want):
     assert {r.predicted for r in toxicity.score(odd_docs, model).collect()} == {want}
 
 
-def test_a_row_repeated_very_often_is_sampled_once(spark, monkeypatch):
+def test_a_doc_id_repeated_very_often_is_sampled_once(spark, monkeypatch):
     docs, labels = corpus(60)
-    rows = toxicity.labelled(spark.createDataFrame(docs + [docs[0]] * 300, DOCS), spark.createDataFrame(labels, LABELS))
-    got = toxicity.sample(rows).collect()
-    assert len(got) == len({r.doc_id for r in got}) == toxicity.labelled(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)).count()
+    marks = spark.createDataFrame(labels + labels[:3], LABELS)
+    want = {(i, t) for i, t in labels if zlib.crc32(str(i).encode()) % 3 != 1}
+    rows = spark.createDataFrame(docs + [docs[0]] * 300 + [(docs[0][0], f"t{i}", "en", "s", 0) for i in range(300)], DOCS)
+    assert sorted((r.doc_id, r.toxic) for r in toxicity.sample(rows, marks).collect()) == sorted(want)
     monkeypatch.setattr(toxicity, "DOCS_EACH", 3)
-    assert sorted(r.toxic for r in toxicity.sample(rows).collect()) == [0, 0, 0, 1, 1, 1]
+    assert sorted(r.toxic for r in toxicity.sample(rows, marks).collect()) == [0, 0, 0, 1, 1, 1]
+
+
+def test_bounds_of_the_fitted_documents(spark, monkeypatch):
+    docs, labels = corpus(100)
+    rows = toxicity.sample(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)).cache()
+    monkeypatch.setattr(toxicity, "FIT_EACH", 4)
+    found, toxic = toxicity.examples(rows, np.ones(1 << toxicity.BITS))
+    assert sorted(toxic) == [0] * 4 + [1] * 4
+    texts = {r.text for r in rows.collect() if r.k <= 4}
+    assert sorted(map(tuple, found)) == sorted(tuple(np.sort(toxicity.features(t.encode()))) for t in texts)
+    monkeypatch.setattr(toxicity, "BYTES_EACH", 1)
+    assert toxicity.examples(rows, np.ones(1 << toxicity.BITS))[0] == []
 
 
 def test_empty(spark, no_docs):

@@ -2,10 +2,10 @@
 
 A document has a feature for every n-gram of LOW to HIGH bytes that occurs in its words, a space standing for each
 end of a word; features are hashed to 2**BITS buckets. A feature's value is its log-count ratio: how much likelier a
-toxic document has it than another one, counted over all labelled documents to learn from. Counts start at the
+toxic document has it than another one, counted over a large, bounded sample of the labelled documents. Counts start at the
 classes' shares, so that a feature nobody has seen has ratio 0, and a ratio is moved towards 0 by SHRINK standard
 errors, so that chance alone gives a feature no say. On these values a logistic regression is fitted, in numpy, on a
-bounded sample of those documents.
+smaller sample of those documents. Learning moves no text but the samples', at every size of the tables.
 """
 
 import functools
@@ -21,8 +21,10 @@ BITS = 18
 # what each count starts with, shared between the classes as their documents are
 PRIOR = 2.0
 SHRINK = 2.0
-# bounds of the sample that the weights are fitted on: documents and bytes of text of each class, bytes of a text
-DOCS_EACH, BYTES_EACH, LONGEST = 2000, 16 << 20, 1 << 20
+# bounds of the samples of each class: documents that the ratios are counted over, bytes of a text to learn from;
+# documents that the weights are fitted on and bytes of their texts
+DOCS_EACH, LONGEST = 20_000, 1 << 20
+FIT_EACH, BYTES_EACH = 2000, 16 << 20
 EPOCHS, BATCH, RATE, PENALTY = 20, 100, 0.02, 1e-5
 LIMIT = 0.7
 # bytes of a text whose n-grams are hashed at a time
@@ -75,13 +77,23 @@ def held_out() -> F.Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, text, toxic`` of all documents to learn from; of several labels of one doc_id the highest counts."""
+def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, toxic, k, text`` of at most DOCS_EACH documents of each class, ``k`` their rank by a hash of the doc_id.
+
+    Held-out documents are not among them. Of several labels of one doc_id the highest counts, of several texts the one
+    with the least hash. Texts are whole; those of more than LONGEST bytes are not learned from.
+    """
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     marks = marks.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
     marks = marks.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    # the ranking drops all but the first of each class before it shuffles
+    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    chosen = marks.withColumn("k", rank).filter(F.col("k") <= DOCS_EACH)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.filter(F.col("doc_id").isNotNull() & ~held_out()).join(marks, "doc_id")
+    rows = rows.filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST)
+    # at most 2 x DOCS_EACH rows are broadcast
+    found = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "k")
+    return found.agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one")).select("doc_id", "toxic", "k", "one.text")
 
 
 def _counted(batches):
@@ -115,39 +127,38 @@ def ratios(rows: DataFrame) -> tuple[np.ndarray, int, int]:
     return np.sign(ratio) * np.maximum(0, np.abs(ratio) - SHRINK * error), n_clean, n_toxic
 
 
-def sample(rows: DataFrame) -> DataFrame:
-    """``text, toxic``: at most DOCS_EACH documents and BYTES_EACH bytes of text of each class, chosen by hash.
+def _featured(wanted: np.ndarray):
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary())
+            rows = [f[wanted[f]] for f in (np.sort(features(t.as_py())) for t in texts)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("k"), batch.column("toxic"), pa.array([r.astype(np.int32) for r in rows], pa.list_(pa.int32()))], names=["k", "toxic", "features"])
 
-    Whole texts; those of more than LONGEST bytes are counted in the ratios but not fitted on.
-    """
-    rows = rows.withColumns({"size": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"), "h": F.xxhash64("doc_id", "text")}).filter(F.col("size") <= LONGEST)
-    order = Window.partitionBy("toxic").orderBy("h", "doc_id")
-    # copies of one row count once; the ranking drops all but the first of each class before it shuffles
-    first = rows.select("doc_id", "toxic", "h", "size").distinct().withColumn("k", F.row_number().over(order)).filter(F.col("k") <= DOCS_EACH)
-    upto = F.sum("size").over(Window.partitionBy("toxic").orderBy("k"))
-    chosen = first.withColumn("upto", upto).filter(F.col("upto") <= BYTES_EACH).select("doc_id", "h")
-    # at most 2 x DOCS_EACH rows
-    found = rows.join(F.broadcast(chosen), ["doc_id", "h"], "left_semi")
-    return found.select("text", "toxic", "h", "doc_id").dropDuplicates(["doc_id", "h"])
+    return run
 
 
-def _featured(batches):
-    for batch in batches:
-        texts = batch.column("text").cast(pa.binary())
-        for at in range(0, len(batch), 256):
-            rows = [np.sort(features(t.as_py())).astype(np.int32) for t in texts.slice(at, 256)]
-            part = batch.slice(at, 256)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("h"), part.column("doc_id"), part.column("toxic"), pa.array(rows, pa.list_(pa.int32()))], names=["h", "doc_id", "toxic", "features"])
+def examples(rows: DataFrame, ratio: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Features with a say and the class, of the documents that the weights are fitted on."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    upto = F.sum("size").over(Window.partitionBy("toxic").orderBy("k"))
+    light = rows.filter(F.col("k") <= FIT_EACH).select("toxic", "k", size.alias("size")).withColumn("upto", upto)
+    # at most 2 x FIT_EACH rows
+    chosen = light.filter(F.col("upto") <= BYTES_EACH).select("toxic", "k")
+    found = rows.join(F.broadcast(chosen), ["toxic", "k"]).select("text", "toxic", "k").mapInArrow(
+        _featured(ratio != 0), "k int, toxic int, features array<int>").toArrow().sort_by([("k", "ascending"), ("toxic", "ascending")])
+    return [np.asarray(f.values, np.int64) for f in found.column("features")], found.column("toxic").to_numpy()
 
 
 def fit(found: list[np.ndarray], toxic: np.ndarray, ratio: np.ndarray, epochs: int = EPOCHS, seed: int = 0) -> tuple[np.ndarray, float]:
     """Weights of the features, ratios included, and the constant: logistic loss with a quadratic penalty, by Adam.
 
-    Both classes weigh alike.
+    Both classes weigh alike. Without documents all weights are 0.
     """
-    rng = np.random.default_rng(seed)
     size = len(ratio)
+    if not found:
+        return np.zeros(size, np.float32), 0.0
+    rng = np.random.default_rng(seed)
     # the last place is the constant, a feature that every document has
     scale = np.append(ratio, 1.0)
     w, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
@@ -177,14 +188,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
 
     With labels of one class only, every text gets that class; without any, all are clean.
     """
-    rows = written(labelled(docs, labels), "labelled")
+    rows = written(sample(docs, labels), "labelled")
     ratio, n_clean, n_toxic = ratios(rows)
     if not n_clean or not n_toxic:
         return np.zeros(1 << BITS, np.float32), 20.0 if n_toxic else -20.0
-    found = sample(rows).mapInArrow(_featured, "h long, doc_id long, toxic int, features array<int>").toArrow()
-    found = found.sort_by([("h", "ascending"), ("doc_id", "ascending")])
-    lists = [np.asarray(f.values, np.int64) if f.values is not None else np.zeros(0, np.int64) for f in found.column("features")]
-    return fit(lists, np.array(found.column("toxic").to_pylist()), ratio)
+    return fit(*examples(rows, ratio), ratio)
 
 
 def _scored(model: tuple[np.ndarray, float]):
