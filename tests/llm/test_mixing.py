@@ -63,5 +63,20 @@ def test_mixed_documents_repeat_whole_rows(odd_docs, many):
     assert count == {i: n for i, n in plan.items() if n}
 
 
+def test_copies_of_rows_that_share_a_number(spark):
+    """No or one doc_id for all: the mixture has exactly the words that the plan takes."""
+    for number in (None, 5):
+        rows = [(number, words(300, i), "en", "ab"[i % 2], 0) for i in range(400)]
+        df = spark.createDataFrame(rows, DOCS)
+        plan = {(r.doc_id, r.source): r.n for r in mixing.mix(df).groupBy("doc_id", "source").agg({"copies": "sum"}).toDF("doc_id", "source", "n").collect()}
+        got = mixing.mixed_documents(df)
+        assert {(r.doc_id, r.source): r["count"] for r in got.groupBy("doc_id", "source").count().collect()} == plan
+        per = {r.text: r["count"] for r in got.groupBy("text").count().collect()}
+        for s in "ab":
+            each = [per.get(r[1], 0) for r in rows if r[3] == s]
+            assert max(each) - min(each) <= 1
+        assert got.columns == df.columns
+
+
 def test_empty(no_docs):
     assert mixing.mix(no_docs).collect() == [] and mixing.mixed_documents(no_docs).collect() == []

@@ -131,10 +131,34 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """The mixture itself: every row of ``docs`` as often as it is to be taken.
 
-    Rows that agree in doc_id, source and size share their copies evenly, rounded to the nearest number.
+    Rows that agree in doc_id, source and size cannot be told apart by the plan: what it takes of them all is dealt to
+    them one by one, in an order of hashes of their texts, so that no copy is lost.
     """
-    plan = mix(docs, weights, share, most).groupBy("doc_id", "source", "size").agg(F.avg("copies").alias("copies"))
-    keyed = packed(docs, id=F.col("doc_id").cast("long"), of=F.col("source").cast("string"), words=word_count("text"))
+    plan = mix(docs, weights, share, most).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("due"), F.count("*").alias("n"))
+    plan = written(plan, "mix-plan")
+    row = F.monotonically_increasing_id()
+    keyed = packed(
+        docs, id=F.col("doc_id").cast("long"), of=F.col("source").cast("string"), words=word_count("text"), h=F.xxhash64(F.col("text").cast("string"), row))
     on = F.col("id").eqNullSafe(F.col("doc_id")) & F.col("of").eqNullSafe(F.col("source")) & (F.col("words") == F.col("size"))
-    times = F.round("copies").cast("int")
-    return keyed.join(plan, on).select("row", F.explode(F.array_repeat(F.lit(1), times))).select("row.*")
+    alone = keyed.join(plan.filter("n = 1"), on).select("row", F.col("due").alias("copies"))
+    shared = plan.filter("n > 1")
+    if shared.limit(1).count():
+        alone = alone.union(_dealt(keyed.join(shared, on)))
+    times = F.array_repeat(F.lit(1), F.col("copies").cast("int"))
+    return alone.select("row", F.explode(times)).select("row.*")
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``row, copies``: the ``due`` copies of each group of ``n`` rows, as evenly as whole numbers allow.
+
+    Ranks are taken in slices of the hash, so no group is large.
+    """
+    group = ["doc_id", "source", "size"]
+    placed = written(rows.withColumn("slice", F.pmod("h", F.ceil(F.col("n") / SLICE))), "mix-shared")
+    sums = placed.groupBy(*group, "slice").agg(F.count("*").alias("in_slice"))
+    before = F.sum("in_slice").over(Window.partitionBy(*group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.select(*[F.col(c).alias(f"of_{c}") for c in [*group, "slice"]], F.coalesce(before, F.lit(0)).alias("before"))
+    ranked = placed.withColumn("rank", F.row_number().over(Window.partitionBy(*group, "slice").orderBy("h")))
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in [*group, "slice"]]
+    whole, over = F.floor(F.col("due") / F.col("n")), F.pmod("due", "n")
+    return ranked.join(sums, same).select("row", (whole + (F.col("rank") + F.col("before") <= over).cast("long")).alias("copies"))
