@@ -285,7 +285,7 @@ def oracle_sql() -> dict[str, str]:
     o["a1_network_logs_reordered"], o["a2_profiles_reordered"] = o["a1_network_logs"], o["a2_profiles"]
     o["a3_events_json"] = q(f"SELECT {ROUND_TRIP_TEXT_ID} FROM net_events")
     o["a4_conn_log"] = q(f"SELECT {CONN_COLS} FROM conn")
-    o["a5_conn_stream"] = o["a4_conn_log"]
+    o["a5_conn_stream"] = o["a5_conn_tail"] = o["a4_conn_log"]
     o["a6_event_stream"] = q(f"SELECT {ROUND_TRIP_TEXT_ID} FROM net_events")
     o["a7_network_event"] = q(
         "SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN k % 3 = 0 THEN '' ELSE source_ip END AS source_ip, "

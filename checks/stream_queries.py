@@ -1,5 +1,6 @@
 """Streaming operators, run over the whole events table in several micro-batches, read back as tables."""
 
+import os
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -72,6 +73,47 @@ def a5_conn_stream(spark, d):
     return spark.read.parquet(finish(spark, stream)).select(*CONN_COLUMNS)
 
 
+def log_bytes(folder: str):
+    """The bytes of a written log, block by block."""
+    for name in sorted(os.listdir(folder)):
+        if name.startswith("part-"):
+            with open(f"{folder}/{name}", "rb") as file:
+                while block := file.read(1 << 20):
+                    yield block
+
+
+@query
+def a5_conn_tail(spark, d):
+    """One log that grows: quarters are appended, cut within a line, and it is rotated once; the job resumes after each."""
+    source, grown = (fresh_path(spark, n).removeprefix("file:") for n in ("conn", "tail"))
+    spark.read.text(conn_log(spark, d)).write.text(source)
+    os.makedirs(grown)
+    log, out, checkpoint = f"{grown}/conn.log", fresh_path(spark, "out"), fresh_path(spark, "checkpoint")
+    size, done, written = sum(os.path.getsize(f"{source}/{n}") for n in os.listdir(source) if n.startswith("part-")), 0, 0
+
+    def caught_up():
+        finish(spark, conn_etl.convert_conn(streams.tail_conn_log(spark, log)), checkpoint=checkpoint, path=out)
+
+    for block in log_bytes(source):
+        while block:
+            until = size * (done + 1) // SLICES
+            part, block = block[: until - written], block[until - written :]
+            with open(log, "ab") as file:
+                file.write(part)
+            written += len(part)
+            if written == until:
+                done += 1
+                if done == 2:  # a log is rotated at the end of a line
+                    line, newline, block = block.partition(b"\n")
+                    with open(log, "ab") as file:
+                        file.write(line + newline)
+                    written += len(line + newline)
+                    os.rename(log, f"{log}.1")
+                else:
+                    caught_up()
+    return spark.read.parquet(out).select(*CONN_COLUMNS)
+
+
 @query
 def a6_event_stream(spark, d):
     path = fresh_path(spark, "messages")
