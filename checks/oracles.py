@@ -597,6 +597,44 @@ placed AS (SELECT *, row_number() OVER (ORDER BY us NULLS LAST, event_id) AS rn,
     o["f3_f6_facts"] = (
         "SELECT unnest(['xgb', 'lgbm', 'rf', 'gb', 'ensemble']) AS model, CAST(count(*) - floor(count(*) * 0.8) AS BIGINT) AS rows, "
         "CAST(0 AS BIGINT) AS outside, TRUE AS better, 1.0e0 AS weights FROM events")
+    from checks.training_queries import LEAF_FEATURES, SPLIT_FEATURES
+
+    def gradients(p, w, features):
+        """Views of one row per event and feature, with first and second derivatives at the starting score."""
+        numbers = ", ".join(f"CAST(f.{c} AS DOUBLE)" for c in features)
+        names = ", ".join(f"'{c}'" for c in features)
+        return (
+            "marked AS (SELECT f.event_id, CAST(e.is_injected_anomaly AS INT) AS y, [" + numbers + "] AS vs FROM feats f JOIN net_events e USING (event_id))",
+            f"odds AS (SELECT {p} AS p, {w} AS w FROM (SELECT CAST(sum(y) AS DOUBLE) AS pos, CAST(count(*) - sum(y) AS DOUBLE) AS neg FROM marked))",
+            "slopes AS (SELECT event_id, vs, CASE WHEN y = 1 THEN w ELSE 1 END * (p - y) AS g, CASE WHEN y = 1 THEN w ELSE 1 END * p * (1 - p) AS h FROM marked, odds)",
+            f"slope_cells AS (SELECT event_id, g, h, unnest(vs) AS v, unnest([{names}]) AS feature, unnest(range({len(features)})) AS f FROM slopes)",
+        )
+
+    def pulled(g, h):
+        return f"(pow(greatest(abs({g}) - 0.1e0, 0), 2) / ({h} + 1))"
+
+    def best(name, nodes, hessian, rows):
+        """View of the best split of each node of ``nodes`` (node, event_id)."""
+        return (
+            f"{name}_bins AS (SELECT node, f, feature, v, sum(g) AS g, sum(h) AS h, count(*) AS n FROM slope_cells JOIN {nodes} USING (event_id) GROUP BY ALL)",
+            f"{name}_cuts AS (SELECT node, f, feature, v, sum(g) OVER w AS g, sum(h) OVER w AS h, sum(n) OVER w AS n, sum(g) OVER a AS ga, sum(h) OVER a AS ha, sum(n) OVER a AS na "
+            f"FROM {name}_bins WINDOW w AS (PARTITION BY node, f ORDER BY v ROWS UNBOUNDED PRECEDING), a AS (PARTITION BY node, f))",
+            f"{name} AS (SELECT * FROM (SELECT *, {pulled('g', 'h')} + {pulled('(ga - g)', '(ha - h)')} - {pulled('ga', 'ha')} AS gain FROM {name}_cuts "
+            f"WHERE h >= {hessian} AND ha - h >= {hessian} AND n >= {rows} AND na - n >= {rows}) WHERE gain > 0.000001 QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 5) DESC, f, v) = 1)",
+        )
+
+    def leaf(g, h):
+        return f"round(-sign({g}) * greatest(abs({g}) - 0.1e0, 0) / ({h} + 1), 4)"
+
+    everything = "everything AS (SELECT 0 AS node, event_id FROM marked)"
+    o["f3_first_split"] = q(
+        f"SELECT 1 AS nr, feature, v AS threshold, round(gain, 2) AS gain, {leaf('g', 'h')} AS left_value, {leaf('(ga - g)', '(ha - h)')} AS right_value FROM root",
+        *gradients("0.5e0", "neg / pos", SPLIT_FEATURES), everything, *best("root", "everything", 3, 1))
+    o["f4_leaf_order"] = q(
+        "SELECT 1 AS nr, feature, v AS threshold, round(gain, 2) AS gain FROM root UNION ALL "
+        "SELECT 2, feature, v, round(gain, 2) FROM (SELECT * FROM lower_ ORDER BY gain DESC LIMIT 1)",
+        *gradients("pos / (pos + neg)", "neg / pos", LEAF_FEATURES), everything, *best("root", "everything", 0.001, 10),
+        "halves AS (SELECT CASE WHEN c.v <= r.v THEN 1 ELSE 2 END AS node, event_id FROM slope_cells c JOIN root r USING (f))", *best("lower_", "halves", 0.001, 10))
     o["f7_ensemble"] = q("SELECT event_id, round(s, 9) AS ensemble FROM pred")
     o["f8_is_threat"] = q("SELECT event_id, is_threat FROM pred")
     o["f9_without_model"] = q("SELECT event_id, FALSE AS is_threat, 0.0e0 AS ensemble_score, 0.0e0 AS xgb_score, 0.0e0 AS lgbm_score, 0.5e0 AS threshold, 'ALLOW' AS threat_action FROM net_events")
