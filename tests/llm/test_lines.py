@@ -1,3 +1,5 @@
+import pytest
+
 from tests.llm.conftest import DOCS, words
 from watchmill.llm import lines
 
@@ -70,3 +72,22 @@ def test_passage_in_the_middle_of_sentences(spark):
 def test_many_units_take_linear_time():
     text = "a. " * 200_000
     assert lines.removed_spans(text, {0}) == (200_000, 1, [(0, 2)])
+
+
+def same_hash(spark, make):
+    """Two different texts of one 32-bit hash, found among many that ``make`` numbers."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(200_000).select(make("id").alias("text"))
+    hashed = rows.groupBy(F.hash("text").alias("h")).agg(F.min("text").alias("a"), F.max("text").alias("b")).filter("a <> b")
+    found = hashed.orderBy("h").first()
+    return found["a"], found["b"]
+
+
+@pytest.mark.parametrize("ids", [(None, None, 7), (3, 3, 7)])
+def test_equal_hashes_of_texts_take_nothing_away(spark, ids):
+    from pyspark.sql import functions as F
+
+    a, b = same_hash(spark, lambda i: F.concat(F.lit("A line of several words numbered "), F.md5(F.col(i).cast("string")), F.lit(".")))
+    got = lines.dedup(spark.createDataFrame(list(zip(ids, (a, b, a))), "doc_id long, text string")).collect()
+    assert [r.kept for r in got if r.kept == b] == [b] and sum(r.n_removed for r in got) == 1

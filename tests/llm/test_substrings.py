@@ -67,3 +67,16 @@ def test_one_doc_id_with_two_texts(spark):
     rows = [(1, long), (1, "other"), (2, "start " + long), (None, long[:500]), (None, "none")]
     docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
     assert sorted((tuple(r)[:5] for r in substrings.repeated_bytes(docs).collect()), key=str) == brute(rows)
+
+
+@pytest.mark.parametrize("ids", [(None, None, 7), (3, 3, 7)])
+def test_equal_hashes_of_texts_take_nothing_away(spark, ids):
+    """Two texts with one 32-bit hash and without ids of their own: what repeats of one is not removed from the other."""
+    from pyspark.sql import functions as F
+
+    number = lambda i: F.concat(*[F.md5(F.concat(F.col(i).cast("string"), F.lit(f"-{k}"))) for k in range(10)])
+    rows = spark.range(200_000).select(number("id").alias("text"))
+    found = rows.groupBy(F.hash("text").alias("h")).agg(F.min("text").alias("a"), F.max("text").alias("b")).filter("a <> b").orderBy("h").first()
+    rows = list(zip(ids, (found["a"], found["b"], found["a"])))
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    assert sorted((tuple(r)[:5] for r in substrings.repeated_bytes(docs).collect()), key=str) == brute(rows)

@@ -125,7 +125,7 @@ def _anchors(batches):
                 out = []
 
 
-ANCHOR = "dk long, th int, pos long, gram long, reach long, late int, early int"
+ANCHOR = "dk long, th long, pos long, gram long, reach long, late int, early int"
 # bytes before the anchor with which a half's strings begin, first and last
 SIDES = {0: (0, HALF), 1: (HALF + 1, REACH)}
 
@@ -142,12 +142,12 @@ def _contexts(batches):
                 low, high = max(0, t["pos"] - last), min(len(text), t["pos"] - first + LENGTH)
                 rows.append((t["gram"], t["core"], t["side"], batch.column("dk")[i].as_py(), batch.column("th")[i].as_py(), t["pos"], t["need"], len(text), low - (t["pos"] - last), text[low:high]))
             for a in range(0, len(rows), 4096):
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary())
+                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[a : a + 4096]), kinds)], names=names)
 
 
-CONTEXT = "gram long, core int, side int, dk long, th int, pos long, need boolean, length long, lead int, context binary"
-SPAN = "dk long, th int, start long, stop long"
+CONTEXT = "gram long, core int, side int, dk long, th long, pos long, need boolean, length long, lead int, context binary"
+SPAN = "dk long, th long, start long, stop long"
 
 
 def _runs(row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -233,7 +233,7 @@ def _strings(batches):
                     keys = [h.ranges(h.prefix(data), here - a, here - a + LENGTH).view(np.int64) for h in (one, two)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(keys[0]), pa.array(keys[1]), pa.array(np.full(len(here), batch.column("dk")[i].as_py())),
-                         pa.array(np.full(len(here), batch.column("th")[i].as_py(), np.int32)), pa.array(here)], names=["k1", "k2", "dk", "th", "start"])
+                         pa.array(np.full(len(here), batch.column("th")[i].as_py(), np.int64)), pa.array(here)], names=["k1", "k2", "dk", "th", "start"])
 
 
 def union(spans: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
@@ -276,11 +276,12 @@ def repeated_bytes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("bytes"))
-    keys = rows.groupBy("doc_id").count().filter((F.col("count") > 1) & F.col("doc_id").isNotNull())
-    repeats = F.hash("bytes") if keys.limit(1).count() else F.lit(0)
-    # a missing doc_id is told apart by its text
-    rows = rows.withColumn("th", F.when(F.col("doc_id").isNull(), F.hash("bytes")).otherwise(repeats)).withColumn(
-        "dk", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    # rows that a doc_id does not name alone are named by 128 bits of it and the text
+    repeats = not rows.groupBy("doc_id").count().filter((F.col("count") > 1) & F.col("doc_id").isNotNull()).isEmpty()
+    own = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).cast("binary"), F.lit(b":"), F.col("bytes"))
+    half = lambda at: F.conv(F.substring(F.md5(own), at, 16), 16, -10).cast("long")
+    odd = F.lit(True) if repeats else F.col("doc_id").isNull()
+    rows = rows.withColumns({"dk": F.when(odd, half(1)).otherwise(F.col("doc_id")), "th": F.when(odd, half(17)).otherwise(F.lit(0).cast("long"))})
     found = rows.select("dk", "th", "bytes").mapInArrow(_anchors, ANCHOR)
     # written apart, so that the joins read plain shuffles, of which Spark can split the large partitions
     buckets = written(found.groupBy("gram").count().filter("count > 1").select("gram"), "grams")
@@ -304,7 +305,7 @@ def repeated_bytes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     crowded = tasks.filter(F.col("k") > crowd)
     if crowded.limit(1).count():
         last = texts.join(crowded.groupBy("dk", "th").agg(task), ["dk", "th"]).select(*whole).mapInArrow(
-            _strings, "k1 long, k2 long, dk long, th int, start long")
+            _strings, "k1 long, k2 long, dk long, th long, start long")
         twice = last.groupBy("k1", "k2").count().filter("count > 1").select("k1", "k2")
         spans = spans.union(last.join(twice, ["k1", "k2"]).select("dk", "th", "start", (F.col("start") + LENGTH).alias("stop")))
     per = spans.groupBy("dk", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
