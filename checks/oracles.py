@@ -708,6 +708,7 @@ placed AS (SELECT *, row_number() OVER (ORDER BY us NULLS LAST, event_id) AS rn,
     o["s1_scored_stream"] = q("SELECT CAST(event_id AS VARCHAR) AS event_id, is_threat, threat_action, threat_score FROM pred")
     o["s2_serving_state"] = q("SELECT CAST(event_id AS VARCHAR) AS event_id, is_first_ip, ip_hops_30m, admin_actions_15m, failed_30m, events_1h, time_since_last, rapid_succession FROM serving")
     o["s3_exact_state"] = q("SELECT CAST(event_id AS VARCHAR) AS event_id, is_new_ip, ip_hops_30m, admin_actions_15m, failed_30m, events_1h, time_since_last, rapid_succession FROM hist")
+    o["s2_history_start"], o["s3_history_start"] = o["s2_serving_state"], o["s3_exact_state"]
     o["s4_late_rows"] = q(
         "SELECT a.event_id, coalesce(a.us <= (SELECT max(b.us) FROM arr b WHERE b.batch < 3) // 1000 * 1000 - 600000000, FALSE) AND a.batch = 3 AS late FROM arr a",
         "\narr AS MATERIALIZED (SELECT event_id, us, CASE WHEN k % 10 = 0 THEN 3 ELSE CAST(floor(event_id * 4 / (max(event_id) OVER () + 1)) AS INT) END AS batch FROM net_events)",

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from checks import inputs as I
 from checks.queries import CONN_COLUMNS, COUNTERS, add, as_read, conn_log, query, repeated_docs
-from watchmill.operators import bridge, conn_etl
+from watchmill.operators import bridge, conn_etl, rolling
 from watchmill.plans.scoring import decide
 from watchmill.session import fresh_path, prepare
 from watchmill.sources import driver_tables as T
@@ -56,15 +56,15 @@ def replay(spark, parts: list[DataFrame], build, sink=None, mode="append") -> st
     return path
 
 
-def replay_events(spark, d, build, sink=None, mode="append", closing=False) -> str:
-    """The events table as network events."""
+def replay_events(spark, d, build, sink=None, mode="append", closing=False, first=0) -> str:
+    """The events table as network events, from its slice ``first`` on."""
     table = T.table(prepare(spark), d, "events")
     people = I.profiles(spark, d)
 
     def events(rows):
         return build(T.net_events(spark, d, rows, people).withColumn("latency_ms", F.col("k") * F.lit(0.25)))
 
-    return replay(spark, sliced(table) + ([closing_row(table)] if closing else []), events, sink, mode)
+    return replay(spark, sliced(table)[first:] + ([closing_row(table)] if closing else []), events, sink, mode)
 
 
 @query
@@ -162,6 +162,33 @@ def s3_exact_state(spark, d):
     return state_output(spark.read.parquet(path), "is_new_ip")
 
 
+def past_events(spark, d):
+    """The first half of the events, which a job that starts with history does not read as a stream."""
+    table = T.table(prepare(spark), d, "events")
+    return T.net_events(spark, d, table.filter(slice_of(table) < SLICES // 2)).select(*STATE_INPUT)
+
+
+def with_past(spark, d, path, mode, first):
+    past = rolling.with_history(rolling.event_inputs(past_events(spark, d)), mode)
+    return state_output(past, first).unionByName(state_output(spark.read.parquet(path), first))
+
+
+@query
+def s2_history_start(spark, d):
+    """The batch job over one half of the events, the stream over the other: together as one run over all."""
+    start = state.serving_start(past_events(spark, d))
+    path = replay_events(spark, d, lambda events: state.serving_history(events.select(*STATE_INPUT), start), first=SLICES // 2)
+    return with_past(spark, d, path, "serving", "is_first_ip")
+
+
+@query
+def s3_history_start(spark, d):
+    start = state.exact_start(past_events(spark, d))
+    path = replay_events(
+        spark, d, lambda events: state.exact_history(events.select(*STATE_INPUT), start=start), closing=True, first=SLICES // 2)
+    return with_past(spark, d, path, "exact", "is_new_ip")
+
+
 @query
 def s4_late_rows(spark, d):
     """A tenth of the events comes last; what is then behind the watermark lands in the side table."""

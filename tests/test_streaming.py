@@ -1,7 +1,9 @@
 import random
 from datetime import timedelta
 
-from pyspark.sql import functions as F
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F, types as T
 
 from tests.test_rolling import SCHEMA, START, frame, random_rows
 from watchmill.operators import bridge, report, rolling
@@ -118,3 +120,96 @@ def test_metrics_add_up_over_batches(spark, tmp_path):
     for i in range(4):
         sink(rows.filter(F.col("latency_ms").between(i * 12.5, i * 12.5 + 12)), i)
     assert jobs.read_metrics(spark, str(tmp_path / "m")).collect() == report.pipeline_metrics(rows).collect()
+
+
+@pytest.mark.parametrize("mode", ["exact", "serving"])
+def test_a_stream_that_starts_with_history_equals_the_batch(spark, tmp_path, mode):
+    """Some users have no past, some only a past, and one has the cut in the middle of an hour."""
+    rows = sorted(events(150, 11), key=lambda r: (r[1], r[0]))
+    cut = next(i for i in range(75, 150) if rows[i][1] > rows[i - 1][1])
+    past, coming = rows[:cut], rows[cut:] + [(800, rows[-1][1] + timedelta(minutes=1), "new", "3.3.3.3", "admin", False)]
+    past += [(900, START, "gone", "2.2.2.2", "read", True)]
+    closing = (10_000, coming[-1][1] + timedelta(hours=3), "z", "9.9.9.9", "read", True)
+    half = len(coming) // 2
+    stream = slices(spark, [coming[:half], coming[half:], [closing]], str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    if mode == "exact":
+        done = state.exact_history(stream, start=state.exact_start(spark.createDataFrame(past, SCHEMA)))
+        columns = EXACT
+    else:
+        done = state.serving_history(stream, start=state.serving_start(spark.createDataFrame(past, SCHEMA)))
+        columns = [*rolling.COUNTERS, "is_first_ip", "time_since_last", "rapid_succession"]
+    finish(done, jobs.table_sink(out), tmp_path / "cp")
+    ids = {r[0] for r in coming}
+    want = rolling.with_history(frame(spark, past + coming), mode, None).filter(F.col("event_id").isin(*ids)).collect()
+    got = collected(spark, out, columns)
+    got.pop(10_000, None)
+    assert got == {r["event_id"]: tuple(r[c] for c in columns) for r in want}
+
+
+class Kept:
+    """State in memory that counts the events written to it."""
+
+    def __init__(self):
+        self.values, self.written = {}, 0
+
+    def updateValue(self, key, value):
+        self.values[key] = value
+        self.written += max([len(v) for v in value if isinstance(v, list)], default=0)
+
+    def update(self, value):
+        self.values[()] = value
+
+    def get(self):
+        return self.values.get(())
+
+    def getValue(self, key):
+        return self.values.get(key)
+
+    def containsKey(self, key):
+        return key in self.values
+
+    def removeKey(self, key):
+        del self.values[key]
+
+    def keys(self):
+        return list(self.values)
+
+    def iterator(self):
+        return list(self.values.items())
+
+
+def test_a_timer_writes_only_the_minutes_it_fills(spark):
+    """One user with an event each second for two hours, in batches of 100 seconds."""
+    states = {}
+
+    class Handle:
+        def getMapState(self, name, *_):
+            return states.setdefault(name, Kept())
+
+        getValueState = getMapState
+
+        def registerTimer(self, _):
+            pass
+
+    class Now:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    row = T.StructType([T.StructField(n, T.LongType()) for n in ("event_id", "event_us")] + [T.StructField("source_ip", T.StringType())] + [
+        T.StructField(n, T.IntegerType()) for n in ("is_admin_action", "failed_action", "event_flag")])
+    job, seen, n = state.ExactHistory(row, ["event_id", *rolling.COUNTERS]), [], 7200
+    job.init(Handle())
+    for a in range(0, n, 100):
+        ids = pd.Series(range(a, a + 100))
+        pdf = pd.DataFrame({"event_id": ids, "event_us": ids * 1_000_000, "source_ip": "a", "is_admin_action": 1, "failed_action": 0, "event_flag": 1})
+        list(job.handleInputRows(("u",), iter([pdf]), Now(0)))
+        seen += [r for out in job.handleExpiredTimer(("u",), Now((a + 70) * 1000), None) for r in out.itertuples(index=False)]
+    assert [r.event_id for r in seen] == list(range(n - 29))
+    assert all(r.events_1h == min(r.event_id + 1, 3600) and r.admin_actions_15m == min(r.event_id + 1, 900) for r in seen)
+    # a minute is met by three batches at most: the last hour, 3600 events, is not written 72 times
+    assert states["rows"].written <= 3 * n and states["waiting"].written <= 4 * n
+    assert len(states["totals"].values) <= 62 and set(states["rows"].values) <= set(states["totals"].values)
+    list(job.handleExpiredTimer(("u",), Now(2 * n * 1000), None))
+    list(job.handleExpiredTimer(("u",), Now(2 * n * 1000), None))
+    assert not states["totals"].values and not states["rows"].values and not states["waiting"].values
