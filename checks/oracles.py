@@ -452,6 +452,14 @@ def oracle_sql() -> dict[str, str]:
         "CASE WHEN k % 10 = 3 THEN 0 ELSE CAST(success_int AS DOUBLE) END AS success_int, "
         "CASE WHEN k % 10 = 3 THEN 0 ELSE CAST(hour AS DOUBLE) END AS hour FROM feats"
     )
+    o["c20_error_reasons"] = q(
+        "SELECT event_id, k % 20 BETWEEN 1 AND 8 AS feature_error, CASE WHEN k % 20 BETWEEN 1 AND 4 THEN 'login_hour' "
+        "WHEN k % 20 BETWEEN 5 AND 8 THEN 'data_downloaded_mb' END AS failed, CASE k % 20 WHEN 1 THEN 'not a value' "
+        "WHEN 2 THEN 'out of range' WHEN 3 THEN 'overflow' WHEN 4 THEN 'missing' WHEN 5 THEN 'overflow' WHEN 6 THEN 'out of range' "
+        "WHEN 7 THEN 'not a value' WHEN 8 THEN 'missing' END AS reason, "
+        "CASE WHEN k % 20 BETWEEN 1 AND 8 THEN 0 ELSE CAST(hour AS DOUBLE) END AS hour, "
+        "CASE WHEN k % 20 BETWEEN 1 AND 8 THEN 0 ELSE CAST(login_hour AS DOUBLE) END AS login_hour FROM feats"
+    )
     o["c21_features"] = o["c19_feature_matrix"]
     o["c21_features_hot_users"] = o["c19_feature_matrix"]
     serving_cols = ("ip_hops_30m", "admin_actions_15m", "failed_30m", "events_1h")
@@ -506,6 +514,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT (count(*) - count(*) FILTER (is_threat)) / count(*) * 100 AS safe_rate_loaded, count(*) FILTER (NOT is_threat) / count(*) * 100 AS safe_rate_live FROM pred"
     )
     o["e11_offset_lag"] = q("SELECT topic, partition, committed, latest, lag, messages FROM lags", OFFSETS)
+    o["e11_running_rows"] = "SELECT CAST(4 AS BIGINT) AS batches, count(*) AS input_rows FROM events"
     o["e11_lag_summary"] = q(
         "SELECT CAST(sum(lag) AS BIGINT) AS total_lag, CAST(sum(messages) AS BIGINT) AS total_messages, count(*) FILTER (lag > 10) AS warned_partitions, "
         "CASE WHEN sum(lag) > 50 THEN 'high' WHEN sum(lag) > 10 THEN 'raised' ELSE 'ok' END AS lag_level FROM lags", OFFSETS,

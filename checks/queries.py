@@ -415,6 +415,23 @@ def c20_zero_on_error(spark, d):
     )
 
 
+@query
+def c20_error_reasons(spark, d):
+    """Raw fields as text, of which each kind of bad one occurs: the row gets zeros, the others stay as they are."""
+    rows, people = I.events_and_profiles(spark, d)
+    hour, load, k = F.col("login_hour").cast("string"), F.col("data_downloaded_mb").cast("string"), F.col("k") % 20
+    raw = rows.withColumns({
+        "login_hour": F.when(k == 1, "ten").when(k == 2, "24").when(k == 3, "99999999999").when(k != 4, hour),
+        "data_downloaded_mb": F.when(k == 5, "1e999").when(k == 6, "-1").when(k == 7, "NaN").when(k != 8, load),
+    })
+    codes = I.codes(rows, people)
+    done = features.zero_on_error(features.engineer_features(features.checked_inputs(raw), people, codes))
+    return done.select(
+        "event_id", "feature_error", F.col("feature_reason.column").alias("failed"), F.col("feature_reason.reason").alias("reason"),
+        F.col("hour").cast("double").alias("hour"), F.col("login_hour").cast("double").alias("login_hour"),
+    )
+
+
 add("c21_features", lambda spark, d: matrix(I.features(spark, d)))
 add("c21_features_hot_users", lambda spark, d: matrix(I.features(spark, d, hot_rows=60)))
 add("c21_features_serving", lambda spark, d: matrix(I.features(spark, d, "serving")))

@@ -12,7 +12,7 @@ from watchmill.plans.scoring import decide
 from watchmill.session import fresh_path, prepare
 from watchmill.sources import driver_tables as T
 from watchmill.sources import sinks, streams
-from watchmill.streaming import jobs, state
+from watchmill.streaming import jobs, progress, state, totals
 
 SLICES = 4
 
@@ -125,14 +125,32 @@ def a6_event_stream(spark, d):
 def a20_merge_metrics(spark, d):
     """A batch that runs twice counts once."""
     path = fresh_path(spark, "metrics")
-    sink = jobs.metrics_sink(path)
+    sink = totals.metrics_sink(path, half=2)
 
     def twice(df, batch_id):
         sink(df, batch_id)
         sink(df, batch_id)
 
     replay_events(spark, d, decide, twice)
-    return jobs.read_metrics(spark, path)
+    return totals.read_metrics(spark, path)
+
+
+@query
+def e11_running_rows(spark, d):
+    """A job that is followed by a listener: what its progress table says of its batches and rows."""
+    path = fresh_path(spark, "progress")
+    log = progress.ProgressLog(spark, path).follow()
+    try:
+        files, out, checkpoint = (fresh_path(spark, n) for n in ("arrivals", "out", "checkpoint"))
+        for part in sliced(T.table(prepare(spark), d, "events")):
+            part.write.mode("append").parquet(files)
+            stream = spark.readStream.schema(part.schema).parquet(files)
+            job = jobs.run(stream, jobs.table_sink(out), checkpoint)
+            job.awaitTermination()
+            log.wait(job)
+    finally:
+        log.leave()
+    return progress.rates(progress.read_progress(spark, path)).select("batches", "input_rows")
 
 
 @query
@@ -230,8 +248,8 @@ def s5_bridge_stream(spark, d):
 @query
 def s6_incremental_metrics(spark, d):
     path = fresh_path(spark, "metrics")
-    replay_events(spark, d, decide, jobs.metrics_sink(path))
-    return jobs.read_metrics(spark, path)
+    replay_events(spark, d, decide, totals.metrics_sink(path))
+    return totals.read_metrics(spark, path)
 
 
 @query

@@ -74,3 +74,34 @@ def test_zero_vector_on_error(spark):
 def test_missing_column_and_null_are_zero(spark):
     row = features.feature_matrix(spark.createDataFrame([(1, None)], "hour int, is_night int"), []).first()
     assert row["hour"] == 1.0 and row["is_night"] == 0.0 and row["role_encoded"] == 0.0
+
+
+def reason(spark, profile=None, **changes):
+    raw = to_network_event(spark.createDataFrame([{**EVENT, **changes}]))
+    event = features.checked_inputs(raw)
+    people = spark.createDataFrame([profile] if profile else [], S.USER_PROFILE)
+    codes = encode.fit_encoders(features.attach_profile(event, people))
+    row = features.zero_on_error(features.engineer_features(event, people, codes, "exact", None)).first()
+    assert row["feature_error"] == (row["feature_reason"] is not None)
+    assert not row["feature_error"] or all(row[c] == 0 for c in S.FEATURE_COLUMNS)
+    return row["feature_reason"] and tuple(row["feature_reason"])
+
+
+def test_a_feature_that_overflows_is_named(spark):
+    calm = {"user_id": "user_1", "avg_daily_downloads_mb": 0.0, "role": "Admin", "base_login_hour": 9.0, "login_hour_std_dev": 2.0}
+    calm = tuple(calm.get(f.name) for f in S.USER_PROFILE.fields)
+    assert reason(spark, calm, data_downloaded_mb=1.7e308) == ("download_ratio", "overflow")
+    assert reason(spark, calm, data_downloaded_mb=1.7e300) is None
+
+
+def test_the_first_bad_field_is_named(spark):
+    raw = spark.createDataFrame([
+        ("2025-06-14 23:30:00", "23", "1.5", "1", "true"), ("soon", "x", "1", "0", "true"), ("2025-06-14 23:30:00", " ", "1", "0", "true"),
+        ("2025-06-14 23:30:00", "5", "1", "99999999999", "true"), ("2025-06-14 23:30:00", "5", "inf", "0", "perhaps"),
+        ("2025-06-14 23:30:00", "5", "1", None, "perhaps"), (None, "x", None, None, None),
+    ], "timestamp string, login_hour string, data_downloaded_mb string, failed_attempts_last_15m string, success string")
+    rows = features.checked_inputs(raw).collect()
+    assert [r["input_error"] and tuple(r["input_error"]) for r in rows] == [
+        None, ("timestamp", "not a value"), ("login_hour", "not a value"), ("failed_attempts_last_15m", "overflow"),
+        ("data_downloaded_mb", "overflow"), ("success", "not a value"), ("timestamp", "missing")]
+    assert rows[0]["login_hour"] == 23 and rows[1]["timestamp"] is None and rows[6]["login_hour"] is None

@@ -96,3 +96,18 @@ def test_roc_auc_of_very_many_rows(spark):
     hist = spark.createDataFrame([("a", 0.2, 0, 10**11), ("a", 0.7, 10**10, 10**11), ("b", 0.5, 10**10, 2 * 10**11)], "model string, score double, pos long, neg long")
     got = {r["model"]: r["roc_auc"] for r in evaluate.histogram_auc(hist, ["a", "b"]).collect()}
     assert got["a"] == pytest.approx(0.75) and got["b"] == pytest.approx(0.5)
+
+
+@pytest.mark.parametrize("method", ["time", "user"])
+def test_split_on_the_stored_time_reaches_the_scan(spark, tmp_path, method):
+    df, _ = table(spark, 300, 4)
+    df = df.withColumn("timestamp", F.when(F.col("event_us") % 11 != 0, F.timestamp_micros("event_us"))).drop("event_us")
+    df.write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t")).withColumn("event_us", F.unix_micros("timestamp"))
+    plain, pushed = ordering.split(rows, 0.7, method), ordering.split(rows, 0.7, method, "timestamp")
+    for a, b in zip(plain, pushed):
+        assert sorted(r["event_id"] for r in a.collect()) == sorted(r["event_id"] for r in b.collect())
+    column = "timestamp" if method == "time" else "user_id"
+    for part, sign in zip(pushed, ("LessThanOrEqual", "GreaterThanOrEqual")):
+        plan = part._jdf.queryExecution().toString()
+        assert f"{sign}({column}," in plan.split("PushedFilters")[-1]

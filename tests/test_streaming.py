@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 
 from tests.test_rolling import SCHEMA, START, frame, random_rows
 from watchmill.operators import bridge, report, rolling
-from watchmill.streaming import jobs, state
+from watchmill.streaming import jobs, progress, state, totals
 
 
 def slices(spark, batches, path, schema=SCHEMA):
@@ -116,10 +116,10 @@ def test_metrics_add_up_over_batches(spark, tmp_path):
     rows = spark.range(100).select(
         (F.col("id") % 2 == 0).alias("is_threat"), F.lit("BLOCK").alias("threat_action"), (F.col("id") * 0.5).alias("latency_ms")
     )
-    sink = jobs.metrics_sink(str(tmp_path / "m"))
+    sink = totals.metrics_sink(str(tmp_path / "m"))
     for i in range(4):
         sink(rows.filter(F.col("latency_ms").between(i * 12.5, i * 12.5 + 12)), i)
-    assert jobs.read_metrics(spark, str(tmp_path / "m")).collect() == report.pipeline_metrics(rows).collect()
+    assert totals.read_metrics(spark, str(tmp_path / "m")).collect() == report.pipeline_metrics(rows).collect()
 
 
 @pytest.mark.parametrize("mode", ["exact", "serving"])
@@ -213,3 +213,58 @@ def test_a_timer_writes_only_the_minutes_it_fills(spark):
     list(job.handleExpiredTimer(("u",), Now(2 * n * 1000), None))
     list(job.handleExpiredTimer(("u",), Now(2 * n * 1000), None))
     assert not states["totals"].values and not states["rows"].values and not states["waiting"].values
+
+
+def test_metrics_stay_in_few_folders(spark, tmp_path):
+    """More batches than slots, each batch repeated at some time, and ranges that were not written to their end."""
+    import shutil
+
+    rows = spark.range(26 * 4).select(
+        (F.col("id") % 3 == 0).alias("is_threat"), F.lit("MONITOR").alias("threat_action"), (F.col("id") * 0.25).alias("latency_ms"),
+        F.floor(F.col("id") / 4).alias("batch"))
+    path = tmp_path / "m"
+    sink = totals.metrics_sink(str(path), half=3)
+    for i in range(26):
+        sink(rows.filter(F.col("batch") == i), i)
+        if i % 5 == 4:
+            for again in (i, max(i - 4, 0), 0):
+                sink(rows.filter(F.col("batch") == again), again)
+        if i == 12:
+            # the job died when it closed a range: its folder is gone, the batch runs again
+            newest = max(path.glob("ranges/range=*"), key=lambda p: spark.read.parquet(str(p)).first()["upto"])
+            shutil.rmtree(newest)
+            want = report.pipeline_metrics(rows.filter("batch <= 12")).collect()
+            assert totals.read_metrics(spark, str(path)).collect() == want
+            sink(rows.filter(F.col("batch") == i), i)
+            assert totals.read_metrics(spark, str(path)).collect() == want
+    assert totals.read_metrics(spark, str(path)).collect() == report.pipeline_metrics(rows).collect()
+    assert len(list(path.glob("*/*"))) <= 2 * 3 + 2
+
+
+def test_a_query_reads_its_own_progress(spark, tmp_path):
+    log = progress.ProgressLog(spark, str(tmp_path / "progress")).follow()
+    try:
+        rows = events(40, 3)
+        stream = slices(spark, [rows[:25], rows[25:]], str(tmp_path / "in"))
+        job = jobs.run(stream, jobs.table_sink(str(tmp_path / "out")), str(tmp_path / "cp"))
+        job.awaitTermination()
+        log.wait(job)
+    finally:
+        log.leave()
+    table = progress.read_progress(spark, str(tmp_path / "progress"))
+    assert {(r["batch_id"], r["input_rows"]) for r in table.collect()} == {(0, 25), (1, 15)}
+    rate = progress.rates(table).first()
+    assert (rate["batches"], rate["input_rows"]) == (2, 40) and rate["processed_rate"] > 0
+    assert progress.running_lag(table).collect() == []
+
+
+def test_lag_from_progress(spark):
+    def row(batch, start, end, latest):
+        return ("q", "r", None, batch, f"2024-01-01T00:00:0{batch}Z", 0, "broker", start, end, latest, 5, 1.0, 2.0)
+
+    table = spark.createDataFrame([
+        row(0, None, '{"t":{"0":1}}', '{"t":{"0":9}}'),
+        row(1, '{"t":{"0":1}}', '{"t":{"0":6,"1":4}}', '{"t":{"0":9}}'),
+    ], progress.PROGRESS)
+    got = {tuple(r) for r in progress.running_lag(table).select("topic", "partition", "committed", "latest", "lag", "messages").collect()}
+    assert got == {("t", 0, 6, 9, 3, 8), ("t", 1, 4, 4, 0, 4)}

@@ -90,9 +90,71 @@ def feature_matrix(df: DataFrame, keep: list[str]) -> DataFrame:
     return df.select(*keep, *[number(c) for c in S.FEATURE_COLUMNS])
 
 
+# column -> (type, least, greatest, whether a row must have it)
+INPUT_RULES = {
+    "timestamp": ("timestamp", None, None, True),
+    "login_hour": ("int", 0, 23, True),
+    "data_downloaded_mb": ("double", 0, None, True),
+    "failed_attempts_last_15m": ("int", 0, None, False),
+    "success": ("boolean", None, None, False),
+    "geo_mismatch": ("boolean", None, None, False),
+    "impossible_travel": ("boolean", None, None, False),
+}
+_ERROR = "struct<column:string,reason:string>"
+
+
+def _no_error() -> Column:
+    return F.lit(None).cast(_ERROR)
+
+
+def _error(name: str, reason: str) -> Column:
+    return F.struct(F.lit(name).alias("column"), F.lit(reason).alias("reason"))
+
+
+def _input_error(name: str, raw: Column, kind: str, least, greatest, needed: bool) -> Column:
+    value = raw.try_cast(kind)
+    checks = F.when(raw.isNull(), _error(name, "missing") if needed else _no_error())
+    if kind == "int":
+        # a whole number too large for its type, and not a word
+        checks = checks.when(value.isNull() & raw.try_cast("double").isNotNull(), _error(name, "overflow"))
+    checks = checks.when(value.isNull(), _error(name, "not a value"))
+    if kind == "double":
+        checks = checks.when(F.isnan(value), _error(name, "not a value")).when(F.abs(value) == float("inf"), _error(name, "overflow"))
+    for bound, outside in ((least, lambda v: v < least), (greatest, lambda v: v > greatest)):
+        if bound is not None:
+            checks = checks.when(outside(value), _error(name, "out of range"))
+    return checks
+
+
+def checked_inputs(events: DataFrame) -> DataFrame:
+    """Raw fields, text or typed, as their types, and ``input_error``: the first that cannot be used and why, else null.
+
+    A field that fails is null, so that nothing later stops at it. Reasons: missing, not a value, overflow, out of range.
+    """
+    rules = {c: rule for c, rule in INPUT_RULES.items() if c in events.columns}
+    errors = [_input_error(c, F.col(c), *rule) for c, rule in rules.items()]
+    rows = events.withColumn("input_error", F.coalesce(*errors, _no_error()))
+    bad = F.col("input_error.column")
+    return rows.withColumns({c: F.when(~bad.eqNullSafe(F.lit(c)), F.col(c).try_cast(kind)) for c, (kind, *_) in rules.items()})
+
+
+def feature_errors(df: DataFrame) -> Column:
+    """The first reason why a row's features cannot be computed: a field that ``checked_inputs`` refused, a field that is
+    missing, or a feature that is no finite number."""
+    needed = [c for c, (*_, must) in INPUT_RULES.items() if must]
+    errors = [F.col("input_error")] if "input_error" in df.columns else []
+    errors += [F.when(F.col(c).isNull(), _error(c, "missing")) for c in needed]
+    for c in S.FEATURE_COLUMNS:
+        if c in df.columns and df.schema[c].dataType.typeName() in ("double", "float"):
+            errors.append(F.when(F.isnan(c), _error(c, "not a value")).when(F.abs(c) == float("inf"), _error(c, "overflow")))
+    return F.coalesce(*errors, _no_error())
+
+
 def zero_on_error(df: DataFrame) -> DataFrame:
-    """Rows whose features cannot be computed get zeros only, and the flag ``feature_error``."""
-    bad = F.col("timestamp").isNull() | F.col("login_hour").isNull() | F.col("data_downloaded_mb").isNull()
+    """Rows whose features cannot be computed get zeros only, the flag ``feature_error`` and, in ``feature_reason``, the
+    column that failed first and why."""
+    df = df.withColumn("feature_reason", feature_errors(df))
+    bad = F.col("feature_reason").isNotNull()
     numbers = {c: F.when(bad, F.lit(0.0)).otherwise(F.col(c)) for c in S.FEATURE_COLUMNS}
     return df.withColumns({"feature_error": bad, **numbers})
 

@@ -1,6 +1,7 @@
 """Positions in a global order without ever sorting the table into one task."""
 
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -51,6 +52,19 @@ class SplitPoint:
     columns: tuple[str, ...]
     values: tuple | None
 
+    def with_stored_time(self, time: str) -> "SplitPoint":
+        """The same point on the stored timestamp in place of its microseconds: such a literal reaches the scan."""
+        if self.values is None or NO_TIME in self.values:
+            return self
+        at = self.columns.index("event_us")
+        stored = datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=self.values[at])
+        return SplitPoint(
+            (*self.columns[:at], time, *self.columns[at + 1 :]), (*self.values[:at], stored, *self.values[at + 1 :]))
+
+    def reach(self) -> Column:
+        """A plain bound of the first part on the leading column, for the scan."""
+        return F.lit(False) if self.values is None else F.col(self.columns[0]) <= F.lit(self.values[0])
+
     def before_or_at(self) -> Column:
         if self.values is None:
             return F.lit(False)
@@ -122,20 +136,26 @@ def user_split_point(
     return SplitPoint((user, us, key), (found[user], value, _kth_key(one.filter(F.col(us) == value), key, rest)))
 
 
-def split(df: DataFrame, ratio: float, method: str = "time") -> tuple[DataFrame, DataFrame]:
+def split(df: DataFrame, ratio: float, method: str = "time", time: str | None = None) -> tuple[DataFrame, DataFrame]:
     """First and second part of the rows, every row in one of them. The point is a literal, so each part is a filter.
 
     A row that cannot be compared with the point, as it has no time, is in the second part; by user, an earlier
-    user's row without a time is in the first.
+    user's row without a time is in the first. ``time`` names the stored timestamp that ``event_us`` is computed from:
+    the filters are then on it, and the scan skips row groups of the other part.
     """
     point = time_split_point(df, ratio) if method == "time" else user_split_point(df, ratio)
+    if time is not None:
+        point = point.with_stored_time(time)
     first = F.coalesce(point.before_or_at(), F.lit(False))
-    return df.filter(first), df.filter(~first)
+    if time is None or point.values is None:
+        return df.filter(first), df.filter(~first)
+    lead = F.col(point.columns[0])
+    return df.filter(point.reach() & first), df.filter(((lead >= F.lit(point.values[0])) | lead.isNull()) & ~first)
 
 
 def export_test_events(events: DataFrame, ratio: float) -> DataFrame:
     """The later part in time, ready for JSON: ISO times, no nulls."""
-    tail = split(events.withColumn("event_us", F.unix_micros("timestamp")), ratio)[1].drop("event_us")
+    tail = split(events.withColumn("event_us", F.unix_micros("timestamp")), ratio, time="timestamp")[1].drop("event_us")
     tail = tail.withColumns({
         "timestamp": F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"),
         "anomaly_type": F.coalesce("anomaly_type", F.lit("None")),

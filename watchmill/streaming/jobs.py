@@ -46,20 +46,6 @@ def table_sink(path: str) -> Sink:
     return lambda df, batch_id: write_batch(df, path, batch_id)
 
 
-def metrics_sink(path: str) -> Sink:
-    """One row of sums per batch."""
-    return lambda df, batch_id: write_batch(df.agg(*report.metric_sums()), path, batch_id)
-
-
-def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Sums over all batches so far."""
-    names = [
-        "total_requests", "total_threats", "total_allowed", "total_monitored", "total_blocked", "total_critical",
-        "total_latency_ms",
-    ]
-    return report.finish_metrics(spark.read.parquet(path).agg(*[F.sum(c).alias(c) for c in names]))
-
-
 def fan_out_sink(events_path: str, alerts_path: str, extra: list[Sink] | None = None) -> Sink:
     """All predictions to one table, threats to another; the batch is computed once."""
     def sink(df: DataFrame, batch_id: int) -> None:
