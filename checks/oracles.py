@@ -685,8 +685,10 @@ placed AS (SELECT *, row_number() OVER (ORDER BY us NULLS LAST, event_id) AS rn,
     o["h1_created_alerts"] = q("SELECT alert_id, event_id, user_id, created_us, threat_score, threat_action FROM alerts")
     o["h2_first_decisions"] = q("SELECT alert_id, CASE status WHEN 'approved' THEN 'approve' ELSE 'reject' END AS decision, resolved_us AS at_us FROM decided WHERE status <> 'pending'")
     o["h3_current_alerts"] = q("SELECT alert_id, status, resolved_us, admin_notes, threat_action FROM decided")
+    o["h3_ledger_stream"] = o["h3_ledger_start"] = o["h3_current_alerts"]
     o["h4_audit_rows"] = q("SELECT alert_id, CASE status WHEN 'approved' THEN 'approve' ELSE 'reject' END AS action, user_id, threat_score, resolved_us AS at_us, admin_notes FROM decided WHERE status <> 'pending'")
     o["h5_rotations"] = q("SELECT rotation_id, alert_id, rotation_type, target, reason, at_us, trigger_score, TRUE AS success FROM rot")
+    o["h5_rotations_stream"] = o["h5_rotations"]
     o["h6_rotation_result"] = q(
         "SELECT alert_id, user_id AS rotated_user, CASE WHEN threat_action = 'CRITICAL_ALERT' THEN service_at_risk END AS affected_service, threat_action, threat_action = 'CRITICAL_ALERT' AS has_infra FROM decided WHERE status = 'approved'"
     )

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 from checks import inputs as I
 from checks.queries import CONN_COLUMNS, COUNTERS, add, as_read, conn_log, query, repeated_docs
 from watchmill.operators import bridge, conn_etl, rolling
+from watchmill.operators import ledger as batch_ledger
 from watchmill.plans.scoring import decide
 from watchmill.session import fresh_path, prepare
 from watchmill.sources import driver_tables as T
 from watchmill.sources import sinks, streams
-from watchmill.streaming import jobs, progress, state, totals
+from watchmill.streaming import jobs, ledger, progress, state, totals
 
 SLICES = 4
 
@@ -207,6 +208,41 @@ def s3_history_start(spark, d):
     return with_past(spark, d, path, "exact", "is_new_ip")
 
 
+def ledger_state(spark, d, first=0):
+    """The alerts after the log has come in slices, cut by entry: about half of the decisions come before their alert.
+
+    Slices before ``first`` are history."""
+    alerts = I.alerts(spark, d)
+    decisions = I.decisions_on(alerts)
+    path = fresh_path(spark, "log")
+    cut = F.pmod(F.xxhash64("alert_id", "decision_id"), F.lit(SLICES))
+    ledger.ledger_log(alerts, decisions).withColumn("slice", cut).write.parquet(path)
+    log = spark.read.parquet(path)
+    parts = [log.filter(F.col("slice") == i).drop("slice") for i in range(SLICES)]
+    before = ledger.ledger_start(log.filter(F.col("slice") < first)) if first else None
+    changes = spark.read.parquet(replay(spark, parts[first:], lambda rows: ledger.ledger_changes(rows, before)))
+    return ledger.latest(changes, alerts.schema, before)
+
+
+CURRENT_ALERT = ["alert_id", "status", "resolved_us", "admin_notes", "threat_action"]
+
+
+@query
+def h3_ledger_stream(spark, d):
+    return ledger_state(spark, d).select(*CURRENT_ALERT)
+
+
+@query
+def h3_ledger_start(spark, d):
+    """One half of the log is history, the other comes as a stream."""
+    return ledger_state(spark, d, SLICES // 2).select(*CURRENT_ALERT)
+
+
+@query
+def h5_rotations_stream(spark, d):
+    return batch_ledger.rotations(ledger_state(spark, d))
+
+
 @query
 def s4_late_rows(spark, d):
     """A tenth of the events comes last; what is then behind the watermark lands in the side table."""

@@ -43,15 +43,15 @@ def first_decisions(decisions: DataFrame) -> DataFrame:
     return decisions.groupBy("alert_id").agg(chosen.alias("d")).select("alert_id", "d.*")
 
 
+def status_of(decision: str) -> Column:
+    """What an alert with this first decision is."""
+    return F.when(F.col(decision) == "approve", "approved").when(F.col(decision) == "reject", "rejected").otherwise("pending")
+
+
 def current_alerts(alerts: DataFrame, decisions: DataFrame) -> DataFrame:
-    status = (
-        F.when(F.col("decision") == "approve", "approved")
-        .when(F.col("decision") == "reject", "rejected")
-        .otherwise("pending")
-    )
     return alerts.join(first_decisions(decisions), "alert_id", "left").select(
         *alerts.columns,
-        status.alias("status"),
+        status_of("decision").alias("status"),
         F.col("at_us").alias("resolved_us"),
         F.coalesce("admin_notes", F.lit("")).alias("admin_notes"),
     )
