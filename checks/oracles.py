@@ -358,7 +358,9 @@ def oracle_sql() -> dict[str, str]:
         "SELECT event_id, resp_h, CASE WHEN source_ip = '' THEN '' ELSE '192.168.0.101' END AS resp_h_no_digits "
         "FROM (SELECT c.event_id, c.resp_h, c.orig_h AS source_ip FROM conn c)"
     )
-    o["b8_ports"] = q("SELECT event_id, resp_p, 49152 + event_id % 1000 AS orig_p, TRUE AS in_range FROM conn")
+    o["b8_ports"] = q(
+        "SELECT event_id, resp_p, 49152 + h % 1000 AS orig_p, 49152 + h % 16384 AS orig_p_of_more FROM "
+        "(SELECT event_id, resp_p, CAST('0x' || substr(sha256(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) AS h FROM conn)")
     o["b9_epoch_ts"] = q("SELECT uid, ts FROM conn")
     o["b10_duration"] = q("SELECT uid, duration FROM conn")
     o["b11_bytes"] = q("SELECT uid, orig_bytes, resp_bytes FROM conn")
@@ -602,7 +604,13 @@ placed AS (SELECT *, row_number() OVER (ORDER BY us NULLS LAST, event_id) AS rn,
     )
 
     # --- scoring and response ---
-    o["f1_feature_columns"] = o["c19_feature_matrix"]
+    dropped = (
+        "action,anomaly_type,avg_daily_downloads_mb,base_login_hour,event_flag,event_id,failed_action,geo_mismatch,"
+        "home_region,impossible_travel,ip_changed,ip_region,is_admin_action,is_injected_anomaly,is_shift_worker,"
+        "login_hour_std_dev,prev_ip,remote_worker,role,source_ip,success,timestamp,user_id,user_region,"
+        "workspace_id")
+    o["f1_feature_columns"] = q(
+        f"SELECT event_id, CAST(is_injected_anomaly AS INT) AS label, '{dropped}' AS dropped, {ALL_FEATURES} FROM feats")
     o["f3_f6_facts"] = (
         "SELECT unnest(['xgb', 'lgbm', 'rf', 'gb', 'ensemble']) AS model, CAST(count(*) - floor(count(*) * 0.8) AS BIGINT) AS rows, "
         "CAST(0 AS BIGINT) AS outside, TRUE AS better, 1.0e0 AS weights FROM events")

@@ -259,11 +259,9 @@ def b7_resp_ip(spark, d):
 def b8_ports(spark, d):
     records = I.events(spark, d)
     uid = F.col("event_id").cast("string")
-    hashed = C.client_port(uid)
     return records.select(
         "event_id", C.server_port(C.service_of(F.col("action"))).cast("bigint").alias("resp_p"),
-        (V.FIRST_CLIENT_PORT + F.col("event_id") % V.CLIENT_PORTS).alias("orig_p"),
-        hashed.between(V.FIRST_CLIENT_PORT, V.FIRST_CLIENT_PORT + V.CLIENT_PORTS - 1).alias("in_range"),
+        C.client_port(uid).alias("orig_p"), C.client_port(uid, V.MORE_CLIENT_PORTS).alias("orig_p_of_more"),
     )
 
 
@@ -664,7 +662,14 @@ add("w11_level_by_hour", lambda spark, d: rounded(report.running_threat_level_by
 
 # ---- scoring and response --------------------------------------------------------------------------------------------------
 
-add("f1_feature_columns", lambda spark, d: matrix(I.features(spark, d)))
+
+@query
+def f1_feature_columns(spark, d):
+    """The matrix, the label beside it and the names of the columns that are left out of it."""
+    rows = I.features(spark, d)
+    columns, dropped = features.feature_columns(rows)
+    table = features.labelled_matrix(rows, ["event_id"]).withColumn("dropped", F.lit(",".join(sorted(dropped))))
+    return rounded(table.select("event_id", "label", "dropped", *columns), *REALS, digits=6)
 
 
 @query

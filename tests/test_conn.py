@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -47,6 +48,9 @@ def test_ports_services_states(spark):
     assert one(spark, C.service_of(F.lit("ADMIN")), C.service_of(F.lit("read")), C.service_of(F.lit("login"))) == ("ssh", "http", "unknown")
     assert one(spark, C.server_port(F.lit("ssh")), C.server_port(F.lit("http")), C.conn_state(F.lit(True)), C.conn_state(F.lit(False))) == (22, 80, "SF", "REJ")
     for n in (1000, 16384):
+        ids = ["0", "7", "event-1", ""]
+        want = [49152 + int(hashlib.sha256(i.encode()).hexdigest()[:8], 16) % n for i in ids]
+        assert list(one(spark, *[C.client_port(F.lit(i), n) for i in ids])) == want
         low, high = spark.range(500).select(C.client_port(F.col("id").cast("string"), n).alias("p")).agg(F.min("p"), F.max("p")).first()
         assert 49152 <= low <= high < 49152 + n
 

@@ -65,6 +65,26 @@ def test_encoders_sort_by_bytes_and_unknown_is_zero(spark):
     assert [r["action_encoded"] for r in encode.apply_encoders(more, codes, ["action"], unknown=-1).collect()] == [-1, 1, -1]
 
 
+def test_wide_columns_are_ranked_over_ranges(spark):
+    rows = spark.createDataFrame([(f"u{i % 37}é", f"v{i % 23}", None if i % 2 else "w", "x") for i in range(300)], "user string, host string, role string, one string")
+    columns = ["user", "host", "role", "one"]
+    codes = encode.fit_encoders(rows, columns, most=10)
+    got = sorted((r["feature"], r["category"], r["code"]) for r in codes.collect())
+    values = {"user": [f"u{i}é" for i in range(37)], "host": [f"v{i}" for i in range(23)], "role": ["w"], "one": ["x"]}
+    assert got == sorted((c, v, i) for c in columns for i, v in enumerate(sorted(values[c])))
+    assert got == sorted((r["feature"], r["category"], r["code"]) for r in encode.fit_encoders(rows, columns).collect())
+
+
+def test_one_wide_column_leaves_the_others_broadcast(spark):
+    rows = spark.range(60).select(F.concat(F.lit("u"), "id").alias("user"), F.concat(F.lit("r"), (F.col("id") % 2)).alias("role"))
+    codes = encode.fit_encoders(rows, ["user", "role"])
+    done = encode.apply_encoders(rows, codes, ["user", "role"], most=20)
+    logical = done._jdf.queryExecution().optimizedPlan().toString()
+    assert logical.count("Join LeftOuter") == 2 and logical.count("rightHint=(strategy=broadcast)") == 1
+    want = {u: i for i, u in enumerate(sorted(f"u{i}" for i in range(60)))}
+    assert all(r["user_encoded"] == want[r["user"]] and r["role_encoded"] == int(r["role"][1]) for r in done.collect())
+
+
 def test_zero_vector_on_error(spark):
     rows = one(spark).withColumn("login_hour", F.lit(None).cast("int"))
     row = features.zero_on_error(rows).first()

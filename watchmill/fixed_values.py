@@ -50,6 +50,17 @@ PROFILE_DEFAULTS = {
 ROLE_RISK = {"Admin": 4, "Developer": 3, "Finance": 2, "HR": 1, "Sales": 1}
 TECH_ROLES = ["Admin", "Developer"]
 ENCODED_COLUMNS = ["action", "ip_region", "user_region", "role"]
+# no features
+DROPPED_COLUMNS = [
+    "event_id", "timestamp", "user_id", "workspace_id", "source_ip",
+    "is_injected_anomaly", "anomaly_type", "first_seen_ip", "prev_ip",
+    "geo_mismatch", "impossible_travel", "success", "remote_worker",
+    "action", "ip_region", "user_region", "role",
+    "base_login_hour", "login_hour_std_dev", "avg_daily_downloads_mb",
+    "clumsiness_factor", "num_known_devices",
+    "event_flag", "ip_changed", "is_admin_action", "failed_action",
+    "home_region", "travel_probability", "is_shift_worker",
+]
 HOPS_SECONDS = 30 * 60
 ADMIN_SECONDS = 15 * 60
 FAILED_SECONDS = 30 * 60
@@ -85,6 +96,7 @@ SSH_PORT = 22
 OTHER_PORT = 80
 FIRST_CLIENT_PORT = 49152
 CLIENT_PORTS = 1000
+MORE_CLIENT_PORTS = 16384
 SERVER_NET = "192.168.0."
 SERVER_HOST_BASE = 100
 SECONDS_PER_MB = 0.15
@@ -136,7 +148,6 @@ MOVEMENT = ["lateral_movement", "privilege_escalation"]
 CRITICAL_PLAN_REASON = "CRITICAL_ALERT: both user and infrastructure credentials will be rotated on admin approval"
 BLOCK_PLAN_REASON = "BLOCK: user credentials will be rotated on admin approval"
 MONITOR_MESSAGE = "MONITOR-level threat: logged for observation, no rotation triggered"
-ROTATED_SERVICES = ["database", "api_gateway", "service_mesh"]
 INFRA_ROLES = {
     "backend": "backend-role",
     "database": "backend-role",

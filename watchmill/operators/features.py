@@ -90,6 +90,17 @@ def feature_matrix(df: DataFrame, keep: list[str]) -> DataFrame:
     return df.select(*keep, *[number(c) for c in S.FEATURE_COLUMNS])
 
 
+def feature_columns(df: DataFrame) -> tuple[list[str], list[str]]:
+    """The columns of the matrix, and those of the table that stay out of it: ids, times, the label and what features are
+    made from."""
+    return S.FEATURE_COLUMNS, [c for c in df.columns if c in V.DROPPED_COLUMNS]
+
+
+def labelled_matrix(df: DataFrame, keep: list[str], label: str = "label") -> DataFrame:
+    """The matrix with the label beside it."""
+    return feature_matrix(df.withColumn(label, F.col("is_injected_anomaly").cast("int")), [*keep, label])
+
+
 # column -> (type, least, greatest, whether a row must have it)
 INPUT_RULES = {
     "timestamp": ("timestamp", None, None, True),
