@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
+from watchmill.llm import token_files as token_files_module
 from watchmill.llm.token_files import EliasFano, Encoder, TokenFile, token_files, write_token_files
 from watchmill.session import fresh_path
 
@@ -69,3 +70,15 @@ def test_one_document_by_select(spark, odd_docs):
 
 def test_empty(no_docs):
     assert token_files(no_docs, PATH).collect() == []
+
+
+def test_frequent_words_stay_known(monkeypatch):
+    """A full memory of words loses those that came last, not all of them."""
+    monkeypatch.setattr(token_files_module, "CACHED_WORDS", 8)
+    encoder = Encoder(PATH)
+    encoder.encode(["the and of"])
+    texts = [" ".join(f"the {chr(97 + i)}{chr(97 + j)}q, of" for j in range(10)) for i in range(6)]
+    for text in texts:
+        assert np.frombuffer(encoder.encode([text])[0], np.uint32).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    encoder.encode(["the"])
+    assert {"the", "and", "of"} <= set(encoder.known) and len(encoder.known) <= 20

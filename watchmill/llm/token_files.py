@@ -15,7 +15,7 @@ rest in unary, about 2 + log2(u / n) bits a value; ``select(i)`` finds the i-th
 import re
 import struct
 import zlib
-from itertools import chain
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -93,6 +93,11 @@ class EliasFano:
         return tops << np.uint64(self.low_bits) | lows
 
 
+def _first_half(cache: dict) -> dict:
+    """What came first: frequent words are met early."""
+    return dict(islice(cache.items(), len(cache) // 2))
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, each different word encoded once while it is remembered.
 
@@ -124,21 +129,27 @@ class Encoder:
 
     def _learn(self, words: set[str]) -> None:
         if len(self.stems) > CACHED_WORDS:
-            self.stems.clear()
-        split, new, stems = {}, {}, self.stems
+            self.stems = _first_half(self.stems)
+        split, new, known, stems = {}, {}, self.known, self.stems
         for w in words:
             if SEPARATOR in w or "<|" in w:
-                self.known[w] = self._plain(w)
+                known[w] = self._plain(w)
                 continue
             stem, tail = (w[:-1], w[-1]) if w[-1] in ",." else (w, "")
             small = stem.lower()
             if self.latin(small) and len(small) == len(stem):
                 stem = small
-                if stem not in stems:
+                found = stems.get(stem)
+                if found is None:
                     ids = [t.id for t in self.model(stem if stem.isascii() else stem.translate(self.spelling))]
-                    stems[stem] = struct.pack(f"<{len(ids)}I", *ids)
-                if tail and tail not in stems:
-                    new[tail] = None
+                    found = stems[stem] = struct.pack(f"<{len(ids)}I", *ids)
+                if not tail:
+                    known[w] = found
+                    continue
+                if tail in stems:
+                    known[w] = found + stems[tail]
+                    continue
+                new[tail] = None
             else:
                 stem, tail = w, ""
                 if stem not in stems:
@@ -152,7 +163,7 @@ class Encoder:
             starts, ends = np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]])
             data = ids.tobytes()
             stems.update(zip(new, (data[a:b] for a, b in zip((starts * 4).tolist(), (ends * 4).tolist()))))
-        self.known.update((w, stems[s] + stems[t] if t else stems[s]) for w, (s, t) in split.items())
+        known.update((w, stems[s] + stems[t] if t else stems[s]) for w, (s, t) in split.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -163,11 +174,15 @@ class Encoder:
             odd = [len(self.mark) != 4 or any(map(t.__contains__, "\x1c\x1d\x1e\x1f")) for t in group]
             words = [[] if o else t.split() for t, o in zip(group, odd)]
             if len(self.known) > CACHED_WORDS:
-                self.known.clear()
-            self._learn(set(chain.from_iterable(words)).difference(self.known))
-            ids = self.known.__getitem__
-            for text, o, ws in zip(group, odd, words):
-                out.append(self._plain(text) if o else b"".join(map(ids, ws)))
+                self.known = _first_half(self.known)
+            # one look at each word; most are known
+            ids = [list(map(self.known.get, ws)) for ws in words]
+            self._learn({w for ws, found in zip(words, ids) if None in found for w, x in zip(ws, found) if x is None})
+            known = self.known
+            for text, o, ws, found in zip(group, odd, words, ids):
+                if None in found:
+                    found = [known[w] if x is None else x for w, x in zip(ws, found)]
+                out.append(self._plain(text) if o else b"".join(found))
         return out
 
 
