@@ -14,7 +14,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near copies by five-word shingles: of each group the document with the smallest doc_id stays."""
+    """Operator 5: near copies by SimHash, each link verified on five-word shingles, and those that lie further apart by bands
+    of least hashes; of each group the document with the smallest doc_id stays."""
     return near_copies.one_of_each(docs)
 
 

@@ -3,7 +3,7 @@ import random
 import numpy as np
 
 from tests.llm.conftest import DOCS, words
-from watchmill.llm import near_copies
+from watchmill.llm import near_copies, simhash
 import corpus_pipeline
 
 
@@ -119,3 +119,17 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert got.columns == odd_docs.columns
     assert sorted(str(r.doc_id) for r in got.collect()) == sorted(["1", "3", "6", "7", "None", "8", "9"])
     assert near_copies.one_of_each(no_docs).collect() == []
+
+
+def test_simhash_proposes_pairs(spark, monkeypatch):
+    """Operator 5 takes part: its links connect what lies within 2 bits, equal fingerprints too, and are verified."""
+    marks = {10: 0, 11: 0, 12: 3, 13: 2**40 + 3, 14: 2**63 - 1, 15: -1}
+    rows = spark.createDataFrame([*marks.items(), (12, 3)], "sh long, fp long")
+    links = {(r.u, r.v) for r in near_copies._by_simhash(rows).collect()}
+    assert {(10, 11), (12, 13)} <= links and all((marks[u] % 2**64 ^ marks[v] % 2**64).bit_count() <= 2 for u, v in links)
+    assert {v for pair in links for v in pair} == set(marks)
+    calls, given = [], simhash.links
+    monkeypatch.setattr(simhash, "links", lambda different: calls.append(1) or given(different))
+    text = words(40, 1)
+    kept = corpus_pipeline.near_duplicates(spark, frame(spark, [(1, text), (2, text.upper()), (3, words(40, 2))]), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3] and calls

@@ -1,8 +1,9 @@
 """Near copies by word shingles: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Two texts are compared if the least hashes of their shingles agree in all ROWS places of one of BANDS bands: at a
-similarity of 0.8 that happens with 1 - (1 - 0.8**6)**25 = 0.9995, and more above. Every compared pair is verified on
-the shingles themselves. First each text meets the smallest and the largest of its band, which links a large group of
+Two texts are compared if their SimHash fingerprints meet (operator 5's ball hashing, ``simhash.links``): that finds copies
+and the closest near copies, but edited ones lie up to 11 bits apart. So they are also compared if the least hashes of
+their shingles agree in all ROWS places of one of BANDS bands: at a similarity of 0.8 that happens with
+1 - (1 - 0.8**6)**25 = 0.9995, and more above. Every compared pair is verified on the shingles themselves. First each text meets the smallest and the largest of its band, which links a large group of
 copies by a number of pairs that grows with its size. Then the members of a band that these links have not brought
 together are compared too: if all but FEW of them are in one group, those few meet the others. What is left are bands
 of many texts that have something in common and are not alike, such as a passage that is found everywhere. Their texts
@@ -15,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from watchmill.llm import simhash
 from watchmill.llm.common import packed
 from watchmill.llm.components import components
 from watchmill.session import written
@@ -65,14 +67,15 @@ def _signed(batches):
     for batch in batches:
         for a in range(0, len(batch), 1024):
             part = batch.slice(a, 1024)
-            keys, rows = [], []
+            keys, marks, rows = [], [], []
             for text in part.column("text").to_pylist():
                 words = _words(text)
                 keys.append(xxh64_intdigest(b" ".join(words)) - (1 << 63))
+                marks.append(simhash.fingerprint(text))
                 rows.append(bands(shingles(words)))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("th"), pa.array(keys, pa.int64()), pa.array(rows, pa.list_(pa.int64()))],
-                names=["doc_id", "th", "sh", "bands"])
+                [part.column("doc_id"), part.column("th"), pa.array(keys, pa.int64()), pa.array(np.array(marks, np.uint64).view(np.int64)),
+                 pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "th", "sh", "fp", "bands"])
 
 
 def _verified(least: float):
@@ -101,6 +104,17 @@ def _pairs(a: str, b: str, met: DataFrame) -> DataFrame:
     return met.filter(f"{a} <> {b}").select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
 
 
+def _by_simhash(rows: DataFrame) -> DataFrame:
+    """``u, v``: texts of one fingerprint, each with the smallest, and these of fingerprints that ``simhash.links`` links."""
+    marked = written(rows.groupBy("sh").agg(F.min("fp").alias("fp")), "marked")
+    different = written(marked.groupBy("fp").agg(F.min("sh").alias("first")), "different")
+    same = _pairs("first", "sh", marked.join(different, "fp"))
+    near = simhash.links(different.select("fp"))
+    for end in ("u", "v"):
+        near = near.join(different.toDF(end, f"{end}_first"), end)
+    return written(same.union(_pairs("u_first", "v_first", near)).distinct(), "by-simhash")
+
+
 def _strangers(met: DataFrame, key: str, groups: DataFrame) -> DataFrame:
     """``key, sh, group, top, apart``: members of buckets with several groups, the largest group there and how many are not in it."""
     known = met.select(key, "sh").join(groups, "sh", "left").select(key, "sh", F.coalesce("group", "sh").alias("group"))
@@ -213,13 +227,15 @@ def _grouped(docs: DataFrame, least: float) -> DataFrame:
     """``doc_id, th, component`` (a hash of its words) for every row; ``th`` is a hash of the text."""
     text = F.col("text").cast("string")
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    rows = written(given.mapInArrow(_signed, "doc_id long, th long, sh long, bands array<long>"), "bands")
+    rows = written(given.mapInArrow(_signed, "doc_id long, th long, sh long, fp long, bands array<long>"), "bands")
     banded = rows.dropDuplicates(["sh"]).select("sh", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("sh").alias("first"), F.max("sh").alias("last")).filter("first <> last")
     met = written(banded.join(shared, "band"), "met")
-    tried = written(_pairs("first", "sh", met).union(_pairs("last", "sh", met)).distinct(), "tried")
+    by_simhash = _by_simhash(rows)
+    tried = written(by_simhash.union(_pairs("first", "sh", met)).union(_pairs("last", "sh", met)).distinct(), "tried")
     # one text of each set of words that is compared
-    wanted = met.select("sh").distinct().join(rows.groupBy("sh").agg(F.min("th").alias("th")), "sh")
+    compared = met.select("sh").union(by_simhash.select("u")).union(by_simhash.select("v"))
+    wanted = compared.distinct().join(rows.groupBy("sh").agg(F.min("th").alias("th")), "sh")
     texts = given.select("th", "text").join(wanted, "th").dropDuplicates(["sh"]).select("sh", "text")
     texts = written(texts, "texts")
     links = _links(tried, texts, least)
