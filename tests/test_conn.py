@@ -1,5 +1,6 @@
 import hashlib
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -159,3 +160,15 @@ def test_csv_columns_by_name(spark, tmp_path):
     rows = files.read_profiles(spark, str(tmp_path / "p.csv")).orderBy("user_id").collect()
     assert [(r["user_id"], r["role"], r["is_shift_worker"], r["base_login_hour"], r["home_region"]) for r in rows] == [
         ("USR-1", "Admin", True, 8.5, None), ("USR-2", "HR", None, None, None)]
+
+
+def test_network_logs_compressed(spark, tmp_path):
+    """Logs written compressed read back as the same rows."""
+    log = [(str(i), datetime(2024, 1, 1, i), f"USR-{i}", "read", i % 2 == 0, i / 4) for i in range(20)]
+    rows = spark.createDataFrame(log, "event_id string, timestamp timestamp, user_id string, action string, success boolean, data_downloaded_mb double")
+    plain, small = f"{tmp_path}/plain", f"{tmp_path}/small"
+    sinks.write_network_logs(rows, plain)
+    sinks.write_network_logs(rows, small, "gzip")
+    assert all(f.name.endswith(".csv.gz") for f in tmp_path.joinpath("small").glob("part-*"))
+    first, second = (files.read_network_logs(spark, p) for p in (plain, small))
+    assert second.count() == 20 and second.exceptAll(first).isEmpty() and first.exceptAll(second).isEmpty()
