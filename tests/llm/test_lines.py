@@ -91,3 +91,10 @@ def test_equal_hashes_of_texts_take_nothing_away(spark, ids):
     a, b = same_hash(spark, lambda i: F.concat(F.lit("A line of several words numbered "), F.md5(F.col(i).cast("string")), F.lit(".")))
     got = lines.dedup(spark.createDataFrame(list(zip(ids, (a, b, a))), "doc_id long, text string")).collect()
     assert [r.kept for r in got if r.kept == b] == [b] and sum(r.n_removed for r in got) == 1
+
+
+def test_units_are_hashed_once(spark):
+    """The digests are read twice, so they come from a written table: what is left in the plan is the cut alone."""
+    docs = spark.createDataFrame([(1, A, None, None, None), (2, A, None, None, None)], DOCS)
+    plan = lines.dedup(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1

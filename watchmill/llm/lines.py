@@ -5,7 +5,8 @@ A sentence of over
 LONG_WORDS words is cut between words whose common hash says so, wherever they stand: a passage set into the middle of
 other sentences has the same cuts there. Units of at least LEAST_WORDS words are normalised and hashed to 128 bits. Of each digest the earliest place, by doc_id
 and then offset, stays; the others are removed. A shorter unit is too common to compare; it goes with its neighbours if
-both go. Only digests and places are shuffled, combined before; one digest's places can be any number.
+both go. Digests and places are made once and written; only they are shuffled, combined before; one digest's places can
+be any number.
 """
 
 import hashlib
@@ -15,6 +16,8 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from watchmill.session import written
+
 LEAST_WORDS = 5
 # a sentence of more words is cut into clauses of about CLAUSE_WORDS
 LONG_WORDS, CLAUSE_WORDS = 24, 10
@@ -130,7 +133,8 @@ def dedup(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     # only rows that a doc_id does not name alone need 128 bits of their text beside it
     odd = not rows.groupBy("doc_id").count().filter("count > 1").isEmpty()
     rows = rows.withColumn("th", F.unhex(F.md5(F.coalesce("text", F.lit("")))) if odd else F.lit(b""))
-    places = rows.mapInArrow(_places(least), "doc_id long, th binary, k1 long, k2 long, at int")
+    # read twice: making them costs far more than reading them
+    places = written(rows.mapInArrow(_places(least), "doc_id long, th binary, k1 long, k2 long, at int"), "places")
     place = F.struct("doc_id", "at", "th")
     known = places.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter(~F.col("first").eqNullSafe(F.col("last"))).select("k1", "k2", "first")
     again = places.join(known, ["k1", "k2"]).filter(~place.eqNullSafe(F.col("first")))
