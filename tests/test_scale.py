@@ -5,9 +5,12 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from checks import inputs as I
 from checks import queries as Q
 from watchmill.functions import conn as C
+from watchmill.operators import keys
 from watchmill.sources import driver_tables as T
+from watchmill.sources import sinks
 
 
 @pytest.fixture()
@@ -60,3 +63,35 @@ def test_a_message_is_parsed_once(spark, tables, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Generate json_tuple") == 1 and "get_json_object(value" not in plan
     assert df.count() == 50 and all(r[1] is not None for r in df.collect())
+
+
+def test_many_rows_get_tasks_by_their_number(spark, tables, monkeypatch):
+    names = ["c9_new_ip", "c6_geo", "d1_logs_profiles"]
+    plain = {n: rows_of(Q.QUERIES[n](spark, tables)) for n in names}
+    history = I.exact(spark, tables)
+    assert "REPARTITION_BY_NUM" not in history._jdf.queryExecution().executedPlan().toString()
+    for module, name, value in ((T, "SMALL_ROWS", 2), (T, "TASK_CUSTOMERS", 1), (keys, "MERGED_ROWS", 10), (keys, "TASK_ROWS", 5)):
+        monkeypatch.setattr(module, name, value)
+    # ten customers; fifty joined events, five in a task
+    assert T.profiles(spark, tables).rdd.getNumPartitions() == 10
+    plan = I.exact(spark, tables)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(user_id" in plan and "10), REPARTITION_BY_NUM" in plan
+    assert {n: rows_of(Q.QUERIES[n](spark, tables)) for n in names} == plain
+    # ten events have two profiles, by which they meet twice more
+    assert len(plain["c9_new_ip"]) == 70 and len(plain["c6_geo"]) == 70
+
+
+def test_daily_files_are_bounded_by_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "FILE_ROWS", 100)
+    day = F.when(F.col("id") % 10 == 0, F.lit("2024-01-02")).when(F.col("id") != 7, F.lit("2024-01-01")).cast("date")
+    rows = spark.range(2000).select("id", F.create_map(F.lit("k"), F.col("id")).alias("m"), day.alias("event_date"))
+    far = spark.range(1).select(F.lit(-1).cast("long").alias("id"), F.lit(None).cast("map<string,long>").alias("m"), F.date_from_unix_date(F.lit(9_000_000)).alias("event_date"))
+    path = str(tmp_path / "daily")
+    sinks._write_daily(rows.unionByName(far), path)
+    back = spark.read.parquet(path)
+    sizes = back.groupBy(F.input_file_name().alias("file")).count().collect()
+    # 18 files' worth and 2 files' worth by hash, one for the row without a day, one far away
+    assert max(r["count"] for r in sizes) < 200 and len(sizes) <= 22
+    assert back.count() == 2001 and back.select("id").distinct().count() == 2001
+    assert back.filter("event_date = '2024-01-02'").count() == 200 and back.filter("event_date is null").count() == 1
+    sinks._write_daily(rows.limit(0), str(tmp_path / "none"))
