@@ -268,3 +268,40 @@ def test_lag_from_progress(spark):
     ], progress.PROGRESS)
     got = {tuple(r) for r in progress.running_lag(table).select("topic", "partition", "committed", "latest", "lag", "messages").collect()}
     assert got == {("t", 0, 6, 9, 3, 8), ("t", 1, 4, 4, 0, 4)}
+
+
+def test_a_state_call_takes_many_waiting_rows(spark):
+    """One row a minute for 2,000 minutes, in two arrivals that interleave: chunks are written, not minutes."""
+    states, calls = {}, []
+
+    class Counted(Kept):
+        def updateValue(self, key, value):
+            calls.append(key)
+            super().updateValue(key, value)
+
+    class Handle:
+        def getMapState(self, name, *_):
+            return states.setdefault(name, Counted())
+
+        getValueState = getMapState
+
+        def registerTimer(self, _):
+            pass
+
+    class Now:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    row = T.StructType([T.StructField(n, T.LongType()) for n in ("event_id", "event_us")] + [T.StructField("source_ip", T.StringType())] + [
+        T.StructField(n, T.IntegerType()) for n in ("is_admin_action", "failed_action", "event_flag")])
+    job, minute = state.ExactHistory(row, ["event_id", "time_since_last", *rolling.COUNTERS]), 60_000_000
+    job.init(Handle())
+    for first in (0, 1):
+        ids = pd.Series(range(first, 2000, 2)).sample(frac=1, random_state=3)
+        pdf = pd.DataFrame({"event_id": ids, "event_us": ids * minute, "source_ip": "a", "is_admin_action": 1, "failed_action": 0, "event_flag": 1})
+        list(job.handleInputRows(("u",), iter([pdf[:300], pdf[300:]]), Now(0)))
+    assert len(calls) <= 20 and all(len(v[0]) <= 512 for v in states["waiting"].values.values())
+    out = [list(job.handleExpiredTimer(("u",), Now(upto * 60_000), None)) for upto in (999, 2100)]
+    got = pd.concat([pdf for frames in out for pdf in frames])
+    assert got["event_id"].tolist() == list(range(2000)) and (got["time_since_last"].iloc[1:] == 60).all()
+    assert got["events_1h"].tolist() == [min(i + 1, 60) for i in range(2000)] and not states["waiting"].values
