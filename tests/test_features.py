@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from watchmill import schema as S
 from watchmill.operators import encode, features
 from watchmill.operators.projection import to_network_event
+from watchmill.plans import training
 
 EVENT = {
     "event_id": "e1", "timestamp": datetime(2025, 6, 14, 23, 30), "user_id": "user_1", "workspace_id": "ws_1",
@@ -125,3 +126,25 @@ def test_the_first_bad_field_is_named(spark):
         None, ("timestamp", "not a value"), ("login_hour", "not a value"), ("failed_attempts_last_15m", "overflow"),
         ("data_downloaded_mb", "overflow"), ("success", "not a value"), ("timestamp", "missing")]
     assert rows[0]["login_hour"] == 23 and rows[1]["timestamp"] is None and rows[6]["login_hour"] is None
+
+
+def test_codes_are_fitted_without_the_joined_rows(spark, monkeypatch):
+    """Ids with several profiles, users without one, profiles without events, a profile without a role, an event without a user."""
+    users = ["user_1"] * 30 + ["user_2"] * 30 + ["user_3", "user_4", None]
+    event = to_network_event(spark.createDataFrame([
+        {**EVENT, "event_id": f"e{i}", "user_id": user, "ip_region": f"R{i % 4}", "action": ["admin", "read"][i % 2]} for i, user in enumerate(users)]))
+
+    def profile(user, role):
+        return tuple({"user_id": user, "role": role}.get(f.name) for f in S.USER_PROFILE.fields)
+
+    people = spark.createDataFrame([
+        *[profile("user_1", role) for role in ("Admin", "HR", "Guest", "HR")], profile("user_2", None), profile("user_3", "Finance"),
+        profile("nobody", "Owner")], S.USER_PROFILE)
+    codes = encode.fit_encoders(features.attach_profile(event, people))
+    want = sorted(tuple(r) for r in codes.select("feature", "category", "code").collect())
+    assert [c for f, c, _ in want if f == "role"] == ["Admin", "Finance", "Guest", "HR", "Sales"]
+    joined, attach = [], features.attach_profile
+    monkeypatch.setattr(features, "attach_profile", lambda events, profiles: joined.append(events.count()) or attach(events, profiles))
+    _, found = training.training_table(event.withColumn("is_injected_anomaly", F.lit(False)), people)
+    assert sorted(tuple(r) for r in found.select("feature", "category", "code").collect()) == want
+    assert joined[0] == 5
