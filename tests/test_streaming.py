@@ -305,3 +305,39 @@ def test_a_state_call_takes_many_waiting_rows(spark):
     got = pd.concat([pdf for frames in out for pdf in frames])
     assert got["event_id"].tolist() == list(range(2000)) and (got["time_since_last"].iloc[1:] == 60).all()
     assert got["events_1h"].tolist() == [min(i + 1, 60) for i in range(2000)] and not states["waiting"].values
+
+
+def test_a_bucket_of_users_is_one_call(spark):
+    """Three users, one of them unnamed, in two calls: each has the counters of a user alone, and one state entry."""
+    states = {}
+
+    class Handle:
+        def getMapState(self, name, *_):
+            return states.setdefault(name, Kept())
+
+        getValueState = getMapState
+
+    job = state.ServingHistory(["event_id", "time_since_last", "is_first_ip", "ip_changed", *rolling.COUNTERS])
+    job.init(Handle())
+    start = pd.DataFrame([("a", None, None, 5_000_000, 1, 19, 2, 99)], columns=["user_id", *job.STATE.names])
+    job.handleInitialState((7,), start, None)
+    rows = pd.DataFrame({
+        "event_id": range(9), "event_us": [9_000_000, 1, 2, 8_000_000, 70_000_002, 2, 9_000_000, 3, 80_000_000],
+        "user_id": ["a", "b", None, "a", "b", "b", "a", None, None], "source_ip": ["x", None, "x", "y", "y", "z", "y", "y", "x"],
+        "is_admin_action": 1, "failed_action": 0, "event_flag": 1})
+    got = pd.concat([f for part in (rows[:7], rows[7:]) for f in job.handleInputRows((7,), iter([part[:4], part[4:]]), None)])
+    got = {r[0]: r[1:] for r in got.itertuples(index=False, name=None)}
+    # gap, first address, change, hops, admin actions, failures, events
+    assert got == {
+        3: (3.0, 1, 0, 1, 20, 2, 100), 0: (1.0, 0, 1, 2, 20, 2, 100), 6: (0.0, 1, 1, 3, 20, 2, 100),
+        1: (0.0, 0, 0, 0, 1, 0, 1), 5: (1e-6, 1, 0, 0, 2, 0, 2), 4: (70.0, 0, 1, 1, 3, 0, 3),
+        2: (0.0, 1, 0, 0, 1, 0, 1), 7: (1e-6, 0, 1, 1, 2, 0, 2), 8: (79.999997, 1, 1, 2, 3, 0, 3)}
+    assert set(states["history"].values) == {("a",), ("b",), (None,)}
+
+
+def test_a_user_without_id_has_a_history(spark, tmp_path):
+    rows = [(i, START + timedelta(minutes=i), None if i % 2 else "u", "1.1.1.1", "read", True) for i in range(6)]
+    out = str(tmp_path / "out")
+    finish(state.serving_history(slices(spark, [rows[:3], rows[3:]], str(tmp_path / "in"))), jobs.table_sink(out), tmp_path / "cp")
+    assert sorted((r["event_id"], r["user_id"], r["events_1h"]) for r in spark.read.parquet(out).collect()) == [
+        (i, None if i % 2 else "u", i // 2 + 1) for i in range(6)]
