@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import inputs as I
 from checks import queries as Q
+from checks import stream_queries as SQ
 from watchmill.functions import conn as C
 from watchmill.operators import keys
 from watchmill.sources import driver_tables as T
@@ -95,3 +96,16 @@ def test_daily_files_are_bounded_by_rows(spark, tmp_path, monkeypatch):
     assert back.count() == 2001 and back.select("id").distinct().count() == 2001
     assert back.filter("event_date = '2024-01-02'").count() == 200 and back.filter("event_date is null").count() == 1
     sinks._write_daily(rows.limit(0), str(tmp_path / "none"))
+
+
+def test_few_small_files_of_events_are_dealt_over_all_cores(spark, tables, monkeypatch):
+    """A stream's events and the messages made of them become more by the join with the profiles."""
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(SQ, "replay", lambda spark, parts, build, *_: build(parts[0].coalesce(1)))
+    assert SQ.replay_events(spark, tables, lambda events: events).rdd.getNumPartitions() == cores > 1
+    rows, arrival = SQ.late_arrivals(spark, tables)
+    part = rows.filter(arrival == SQ.SLICES - 1)
+    assert part.rdd.getNumPartitions() == cores
+    plan = part._jdf.queryExecution().optimizedPlan().toString()
+    # the slice is cut before the join, and what it is cut by is not made of joined rows
+    assert plan.index("Join") < plan.index("Filter")
