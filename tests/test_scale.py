@@ -109,3 +109,12 @@ def test_few_small_files_of_events_are_dealt_over_all_cores(spark, tables, monke
     plan = part._jdf.queryExecution().optimizedPlan().toString()
     # the slice is cut before the join, and what it is cut by is not made of joined rows
     assert plan.index("Join") < plan.index("Filter")
+
+
+def test_what_follows_from_the_event_is_made_before_the_join(spark, tables):
+    for name, made in (("c3_hour_circle", "SIN("), ("c6_geo", "AS impossible_travel_int")):
+        plan = Q.QUERIES[name](spark, tables)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Join") < plan.index(made) and made not in plan[: plan.index("Join")]
+    assert "round(" not in Q.QUERIES["c3_hour_circle"](spark, tables)._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    # an event is once there for each pair of its user's profiles
+    assert Q.QUERIES["c3_hour_circle"](spark, tables).count() == 70
