@@ -118,3 +118,20 @@ def test_what_follows_from_the_event_is_made_before_the_join(spark, tables):
     assert "round(" not in Q.QUERIES["c3_hour_circle"](spark, tables)._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
     # an event is once there for each pair of its user's profiles
     assert Q.QUERIES["c3_hour_circle"](spark, tables).count() == 70
+
+
+def test_rounded_equals_round(spark):
+    import random
+
+    rng = random.Random(5)
+    values = [None, 0.0, -0.0, float("nan"), float("inf"), -float("inf"), 1e15 + 0.5, 2.0**60, 144.0, 999.9999999995, 1e-10, -1e-10, 5e-10, 4.9e-10, 1e300]
+    values += [(rng.randrange(10**11) * 10 + 5) / 1e10 * s for s in (1, -1) for _ in range(2000)]
+    values += [rng.uniform(-2, 2) * 10 ** rng.randrange(-12, 8) for _ in range(6000)]
+    values += [(2 * rng.randrange(10**6) + 1) / 2.0 ** rng.randrange(1, 24) for _ in range(2000)]
+    rows = spark.createDataFrame([(v,) for v in values], "a double").select("a", F.col("a").alias("b"), F.col("a").cast("float").alias("f"))
+    for digits in (6, 9):
+        got = Q.rounded(rows, "b", digits=digits).select("b", F.round("a", digits).alias("a")).collect()
+        assert [repr(r[0]) for r in got] == [repr(r[1]) for r in got]
+    assert Q.rounded(rows, "f").schema["f"].dataType.typeName() == "float"
+    plan = Q.rounded(rows, "b")._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan
