@@ -12,6 +12,7 @@ from watchmill.functions import conn as C
 from watchmill.operators import keys
 from watchmill.sources import driver_tables as T
 from watchmill.sources import sinks
+from watchmill.streaming import jobs
 
 
 @pytest.fixture()
@@ -135,3 +136,14 @@ def test_rounded_equals_round(spark):
     assert Q.rounded(rows, "f").schema["f"].dataType.typeName() == "float"
     plan = Q.rounded(rows, "b")._jdf.queryExecution().optimizedPlan().toString()
     assert "CASE WHEN" in plan
+
+
+def test_a_batch_that_fans_out_is_kept_nowhere(spark, tmp_path, monkeypatch):
+    """The alerts come from the written batch: nothing is persisted, and the batch is computed once."""
+    rows = spark.createDataFrame([(i, i % 3 == 0, 0.5, "BLOCK", "u") for i in range(30)], "event_id int, is_threat boolean, threat_score double, threat_action string, user_id string")
+    rows = rows.withColumn("timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    monkeypatch.setattr(type(rows), "persist", lambda *a: pytest.fail("a batch in memory"))
+    seen = []
+    jobs.fan_out_sink(str(tmp_path / "all"), str(tmp_path / "alerts"), [lambda df, nr: seen.append((df.count(), nr))])(rows, 4)
+    assert spark.read.parquet(str(tmp_path / "all")).count() == 30 and spark.read.parquet(str(tmp_path / "alerts")).count() == 10
+    assert seen == [(30, 4)]
